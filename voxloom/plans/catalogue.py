@@ -3,9 +3,16 @@
 from __future__ import annotations
 
 from voxloom.plans.intervals import INTERVALS, p2_found
+from voxloom.plans.metrics import METRICS
+from voxloom.plans.records import RECORDS
 from voxloom.plans.registry import Query
+from voxloom.plans.segments import SEGMENTS
+from voxloom.plans.series import SERIES
+from voxloom.plans.signals import SIGNALS
+from voxloom.plans.streams import STREAMS
+from voxloom.plans.vectors import VECTORS
 
-REGISTRIES = (INTERVALS,)
+REGISTRIES = (INTERVALS, RECORDS, METRICS, SERIES, SEGMENTS, VECTORS, STREAMS, SIGNALS)
 FLAGSHIP = p2_found
 
 
