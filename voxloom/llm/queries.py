@@ -98,7 +98,7 @@ def _mix(spark: SparkSession, folder: str) -> DataFrame:
     targets = table(spark, folder, "mix_targets")
     names = targets.select(F.col("dataset_name").alias("known"), plain(F.col("dataset_name")).alias("plain"))
     samples = table(spark, folder, "samples").select("id", "length", plain(F.col("dataset_name")).alias("plain"))
-    samples = samples.where("length > 0 and length <= 3600").join(names, "plain")
+    samples = samples.where("length >= 0.01 and length <= 3600").join(names, "plain")
     return mixed(samples, "id", F.col("known"), F.round(F.col("length").cast("double") * 1000), targets, "dataset_name", "target_share", "max_repeats", BLOCK_SECONDS * 1000)
 
 
