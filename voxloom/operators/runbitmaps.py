@@ -127,6 +127,7 @@ def periods_and_gaps(df: DataFrame, keys: Sequence[str], start: str, end: str, u
     maps = maps.withColumn("gaps", F.concat(F.coalesce(ahead, F.array().cast("array<struct<g:bigint,h:bigint>>")), inside))
     maps = maps.withColumn("first", F.when(F.col("held").isNull(), F.when(F.col("cover").isNotNull(), at).otherwise(F.try_element_at("starts", F.lit(1)))))
     maps = _before(maps, ks, F.greatest("first", F.try_element_at("gaps", F.lit(-1))["h"]), "since")
+    maps = cut_lineage(maps.withColumn("reach", reach).select(*ks, "gaps", "first", "since", "reach"), "gaps")
 
     # A gap ends the period that began with the gap before it, or with the entity's first set unit.
     starts = F.concat(F.array(F.coalesce("since", "first")), F.transform("gaps", lambda x: x["h"]))
@@ -134,7 +135,7 @@ def periods_and_gaps(df: DataFrame, keys: Sequence[str], start: str, end: str, u
     silent = F.transform("gaps", lambda x: F.struct(F.lit("gap").alias("kind"), x["g"].alias("start_unit"), x["h"].alias("end_unit")))
     done = maps.select(*ks, F.explode(F.concat(F.array_compact(closed), silent)).alias("x")).select(*ks, "x.*")
     last = maps.groupBy(*ks).agg(
-        F.max(F.greatest("first", F.try_element_at("gaps", F.lit(-1))["h"])).alias("start_unit"), F.max(reach).alias("end_unit")
+        F.max(F.greatest("first", F.try_element_at("gaps", F.lit(-1))["h"])).alias("start_unit"), F.max("reach").alias("end_unit")
     )
     out = done.unionByName(last.withColumn("kind", F.lit("period")))
     return out.select(*[F.col(n).alias(k) for k, n in zip(keys, ks, strict=True)], "kind", "start_unit", "end_unit")

@@ -9,6 +9,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 MOST_CENTROIDS = 100_000  # values of all centroids together that are sent to every task, in thousands of bytes of 8
 
@@ -39,6 +40,7 @@ def nearest_centroid(df: DataFrame, key: str, vector: str, centres: DataFrame, n
     if sum(len(c) for _, c in rows) > MOST_CENTROIDS * 1000:
         raise ValueError("too many centroids for one matrix")
     names = [n for n, _ in rows]
+    name_type = to_arrow_type(centres.schema[name].dataType)
     m = np.array([c for _, c in rows], np.float64) if rows else np.zeros((0, 1))
     m = m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-300)
     kinds = f"{key} {df.schema[key].dataType.simpleString()}, {name} {centres.schema[name].dataType.simpleString()}, similarity double"
@@ -56,7 +58,7 @@ def nearest_centroid(df: DataFrame, key: str, vector: str, centres: DataFrame, n
                 best[fits[good]], value[fits[good]] = s[good].argmax(1), s[good].max(1)
             best[~(value > least)] = -1
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([names[b] if b >= 0 else None for b in best]), pa.array(value, from_pandas=True, mask=np.isnan(value))], [key, name, "similarity"]
+                [batch.column(0), pa.array([names[b] if b >= 0 else None for b in best], name_type), pa.array(value, from_pandas=True, mask=np.isnan(value))], [key, name, "similarity"]
             )
 
     return df.select(key, vector).mapInArrow(run, kinds)
