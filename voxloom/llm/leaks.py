@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from voxloom.llm.fold import folded, window_hashes
 
@@ -176,12 +177,12 @@ def leaked_items(
     out = None
     for block in range(blocks):
         rows = sorted((r.i, r.t) for r in items.where(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == block).collect())
-        found = docs.mapInArrow(_search(rows, share), f"k {kind}, i {item_kind}, coverage double")
+        found = docs.mapInArrow(_search(rows, share, to_arrow_type(items.schema["i"].dataType)), f"k {kind}, i {item_kind}, coverage double")
         out = found if out is None else out.unionByName(found)
     return out.groupBy(F.col("k").alias(key), F.col("i").alias(item_key)).agg(F.max("coverage").alias("coverage"))
 
 
-def _search(rows: list[tuple], share: float):
+def _search(rows: list[tuple], share: float, item_type: pa.DataType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         letters, offsets = folded([t for _, t in rows])
         tables, length = seed_tables(letters, offsets), np.diff(offsets)
@@ -194,7 +195,7 @@ def _search(rows: list[tuple], share: float):
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).take(pa.array([start + f[0] for f in found], pa.int64())),
-                        pa.array([rows[f[1]][0] for f in found]).cast(kind_of(rows)) if found else pa.array([], kind_of(rows)),
+                        pa.array([rows[f[1]][0] for f in found], item_type),
                         pa.array([f[2] for f in found], pa.float64()),
                     ],
                     ["k", "i", "coverage"],
@@ -202,7 +203,3 @@ def _search(rows: list[tuple], share: float):
                 start = end
 
     return run
-
-
-def kind_of(rows: list[tuple]) -> pa.DataType:
-    return pa.array([r[0] for r in rows[:1]]).type if rows else pa.int64()
