@@ -70,12 +70,13 @@ def snr_db(clean: Column, noisy: Column, cap: float = 40.0) -> Column:
 def si_sdr_db(reference: Column, estimate: Column, low: float = -20.0, high: float = 100.0) -> Column:
     """Scale-invariant signal-to-distortion ratio in dB between bounds; null without reference energy or for other lengths."""
     n = F.size(reference)
-    centred = lambda x: F.transform(x, lambda v: v.cast("double") - _sum(x, lambda u: u) / n)
-    r, e = centred(reference), centred(estimate)
-    power = _sum(r, lambda v: v * v)
-    scale = F.aggregate(F.zip_with(r, e, lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v) / F.when(power > 1e-20, power)
+    product = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, v: s + v)
+    same = lambda v: v
+    sum_r, sum_e = _sum(reference, same), _sum(estimate, same)
+    power, cross = product(reference, reference) - sum_r * sum_r / n, product(reference, estimate) - sum_r * sum_e / n
+    scale = cross / F.when(power > 1e-20, power)
     target = scale * scale * power
-    noise = F.aggregate(F.zip_with(r, e, lambda a, b: (b - scale * a) * (b - scale * a)), F.lit(0.0), lambda s, v: s + v)
+    noise = product(estimate, estimate) - sum_e * sum_e / n - 2 * scale * cross + target
     value = F.when(noise < 1e-20, float(high)).otherwise(10 * F.log10(F.greatest(target, F.lit(1e-20)) / noise))
     return F.when((n > 0) & (n == F.size(estimate)) & scale.isNotNull(), F.least(F.greatest(value, F.lit(float(low))), F.lit(float(high))))
 
