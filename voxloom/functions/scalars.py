@@ -9,15 +9,15 @@ from pyspark.sql import functions as F
 
 # What the pipeline writes where there is no transcript.
 MARKERS = ("[INAUDIBLE]", "[STT_ERROR]", "[NO_AUDIO]", "[NO_TRANSCRIPT]")
-# Words in a message that name the kind of an error, tried in this order.
-ERROR_WORDS = {
-    "memory": ["memory", "oom", "allocation"],
-    "timeout": ["timeout", "timed out", "deadline"],
-    "network": ["connection", "network", "socket"],
-    "corrupted_audio": ["corrupt", "broken", "header", "truncated"],
-    "unsupported_format": ["format", "codec", "decode"],
-    "permission": ["permission", "denied"],
-}
+# Kinds of error in the order in which they are tried; a word of every list must stand in the message.
+ERROR_WORDS = [
+    ("network_error", [["connection", "network", "timeout", "unreachable"]]),
+    ("memory_error", [["memory", "allocation", "out of memory"]]),
+    ("unsupported_format", [["unsupported", "unknown", "invalid"], ["format", "codec"]]),
+    ("encoding_error", [["format", "codec", "encoding", "decode", "decoding", "parsing"]]),
+    ("corrupted_audio", [["corrupt", "invalid", "damaged", "truncated"]]),
+    ("metadata_error", [["metadata", "tag", "header"]]),
+]
 
 
 def segment_id(key: Column, own: Column, path: Column, url: Column) -> Column:
@@ -55,13 +55,15 @@ def plain_name(name: Column) -> Column:
 
 
 def error_kind(message: Column) -> Column:
-    """The first kind of error any of whose words stands in the message, else ``unknown``."""
+    """The first kind of error whose words stand in the message, else ``unknown_error``."""
     low = F.lower(F.coalesce(message, F.lit("")))
-    out = None
-    for kind, words in ERROR_WORDS.items():
-        hit = low.rlike("|".join(words))
-        out = F.when(hit, kind) if out is None else out.when(hit, kind)
-    return out.otherwise("unknown")
+    out = F.when(F.lit(False), "")
+    for kind, lists in ERROR_WORDS:
+        hit = F.lit(True)
+        for words in lists:
+            hit = hit & low.rlike("|".join(words))
+        out = out.when(hit, kind)
+    return out.otherwise("unknown_error")
 
 
 def retry_delay(base: Column, attempt: Column, strategy: Column) -> Column:

@@ -67,20 +67,6 @@ def snr_db(clean: Column, noisy: Column, cap: float = 40.0) -> Column:
     return F.when(n > 0, F.when(noise < 1e-20, float(cap)).otherwise(F.least(F.lit(float(cap)), 10 * F.log10(F.greatest(signal, F.lit(1e-20)) / noise))))
 
 
-def si_sdr_db(reference: Column, estimate: Column, low: float = -20.0, high: float = 100.0) -> Column:
-    """Scale-invariant signal-to-distortion ratio in dB between bounds; null without reference energy or for other lengths."""
-    n = F.size(reference)
-    product = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, v: s + v)
-    same = lambda v: v
-    sum_r, sum_e = _sum(reference, same), _sum(estimate, same)
-    power, cross = product(reference, reference) - sum_r * sum_r / n, product(reference, estimate) - sum_r * sum_e / n
-    scale = cross / F.when(power > 1e-20, power)
-    target = scale * scale * power
-    noise = product(estimate, estimate) - sum_e * sum_e / n - 2 * scale * cross + target
-    value = F.when(noise < 1e-20, float(high)).otherwise(10 * F.log10(F.greatest(target, F.lit(1e-20)) / noise))
-    return F.when((n > 0) & (n == F.size(estimate)) & scale.isNotNull(), F.least(F.greatest(value, F.lit(float(low))), F.lit(float(high))))
-
-
 def si_sir_db(reference: Column, estimate: Column, mixture: Column) -> Column:
     """Part of the estimate along the reference against the part along the rest of the mixture, in dB."""
     d = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, v: s + v)
@@ -368,6 +354,42 @@ def standardised(x: np.ndarray, rate: int, to: int = 16000, level_db: float = -2
     return np.clip(normalised(trimmed(resampled(x, rate, to), to), level_db), -1, 1)
 
 
+def pair_sums(a: pa.Array, b: pa.Array) -> tuple[np.ndarray, ...]:
+    """For two list columns of equal lengths row by row: size, and sums of a, b, aa, bb, ab and (a - b)²."""
+    size = a.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    x, y = (c.flatten().to_numpy(zero_copy_only=False).astype(np.float64) for c in (a, b))
+    row = np.repeat(np.arange(len(size)), size)
+    total = lambda v: np.bincount(row, v, minlength=len(size))
+    return size, total(x), total(y), total(x * x), total(y * y), total(x * y), total((x - y) ** 2)
+
+
+def with_ratios(df: DataFrame, reference: str, estimate: str, cap: float = 40.0, low: float = -20.0, high: float = 100.0) -> DataFrame:
+    """Add ``snr`` (``cap`` at most and without noise) and the scale-invariant ``si_sdr`` (between ``low`` and ``high``), in dB.
+
+    Null where a signal is null or empty, lengths differ or, for ``si_sdr``, the reference has no energy. Both signals are dropped.
+    """
+    kept = [f for f in df.schema.fields if f.name not in (reference, estimate, "snr", "si_sdr")]
+    good = (F.size(reference) == F.size(estimate)) & (F.size(reference) > 0)
+    rows = df.withColumns({reference: F.when(good, F.col(reference)), estimate: F.when(good, F.col(estimate))})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, sa, sb, aa, bb, ab, dd = pair_sums(batch.column(reference), batch.column(estimate))
+            size = np.maximum(n, 1)
+            power, cross = aa - sa * sa / size, ab - sa * sb / size
+            with np.errstate(all="ignore"):
+                snr = np.where(dd < 1e-20, cap, np.minimum(cap, 10 * np.log10(np.maximum(aa, 1e-20) / dd)))
+                scale = cross / power
+                target = scale * scale * power
+                noise = bb - sb * sb / size - 2 * scale * cross + target
+                sdr = np.where(noise < 1e-20, high, np.clip(10 * np.log10(np.maximum(target, 1e-20) / noise), low, high))
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(f.name) for f in kept), pa.array(snr, mask=n == 0), pa.array(sdr, mask=(n == 0) | (power <= 1e-20))], [*(f.name for f in kept), "snr", "si_sdr"]
+            )
+
+    return rows.mapInArrow(run, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), "snr double, si_sdr double"]))
+
+
 # Kernels on frames of data
 
 

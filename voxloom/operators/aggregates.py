@@ -75,3 +75,24 @@ def histogram_peaks(df: DataFrame, keys: Sequence[str], value: str, bins: int, s
 def top(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
     """The first ``n`` rows; each task keeps no more than ``n``."""
     return df.orderBy(*order).limit(n)
+
+
+def top_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column], spread: Column, n: int, output: str = "place") -> DataFrame:
+    """The first ``n`` rows of each group with their place; groups are ranked in 64 parts before the parts are ranked.
+
+    ``spread`` is a hash of the row. ``order`` should end with a unique column.
+    """
+    rank = lambda *by: F.row_number().over(Window.partitionBy(*by).orderBy(*order))
+    rows = df.withColumn("__part", F.pmod(spread, F.lit(64)))
+    rows = rows.withColumn("__r", rank(*keys, "__part")).where(F.col("__r") <= n)
+    return rows.withColumn(output, rank(*keys)).where(F.col(output) <= n).drop("__part", "__r")
+
+
+def rescaled(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """Add ``minmax`` (0.5 where all values are equal) and ``zscore`` (0 there) of a value within its key."""
+    s = df.groupBy(*keys).agg(F.min(value).alias("__lo"), F.max(value).alias("__hi"), F.avg(value).alias("__m"), F.stddev_pop(value).alias("__s"))
+    rows = df.join(s, list(keys)) if keys else df.join(s, F.lit(True))
+    v = F.col(value)
+    one = F.when(v.isNotNull(), F.when(F.col("__hi") > F.col("__lo"), (v - F.col("__lo")) / (F.col("__hi") - F.col("__lo"))).otherwise(0.5))
+    z = F.when(v.isNotNull(), F.when(F.col("__s") > 0, (v - F.col("__m")) / F.col("__s")).otherwise(0.0))
+    return rows.withColumns({"minmax": one, "zscore": z}).drop("__lo", "__hi", "__m", "__s")

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-MOST_CENTROIDS = 100_000  # values of all centroids together that are sent to every task, in thousands of bytes of 8
+MOST_VALUES = 20_000_000  # of all centroids together, which are sent to every task
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -33,11 +33,11 @@ def centroids(df: DataFrame, group: str, vector: str) -> DataFrame:
 def nearest_centroid(df: DataFrame, key: str, vector: str, centres: DataFrame, name: str, least: float = -1.0) -> DataFrame:
     """The centroid of largest cosine for each vector, null where none is over ``least``.
 
-    The centroids go to every task as one matrix, and more than ``MOST_CENTROIDS`` thousand values of them are
+    The centroids go to every task as one matrix, and more than ``MOST_VALUES`` values of them are
     refused. Ties go to the smallest name. Vectors that are null, zero or of another size give null.
     """
     rows = sorted((r[name], r.centroid) for r in centres.select(name, "centroid").collect())
-    if sum(len(c) for _, c in rows) > MOST_CENTROIDS * 1000:
+    if sum(len(c) for _, c in rows) > MOST_VALUES:
         raise ValueError("too many centroids for one matrix")
     names = [n for n, _ in rows]
     name_type = to_arrow_type(centres.schema[name].dataType)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from voxloom.plans.extras import EXTRAS
 from voxloom.plans.intervals import INTERVALS, p2_found
 from voxloom.plans.metrics import METRICS
 from voxloom.plans.records import RECORDS
@@ -12,7 +13,7 @@ from voxloom.plans.signals import SIGNALS
 from voxloom.plans.streams import STREAMS
 from voxloom.plans.vectors import VECTORS
 
-REGISTRIES = (INTERVALS, RECORDS, METRICS, SERIES, SEGMENTS, VECTORS, STREAMS, SIGNALS)
+REGISTRIES = (INTERVALS, RECORDS, METRICS, SERIES, SEGMENTS, VECTORS, STREAMS, SIGNALS, EXTRAS)
 FLAGSHIP = p2_found
 
 

@@ -6,7 +6,7 @@ formulas that stand in for measured ones.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from voxloom.functions import scalars as S
@@ -117,9 +117,10 @@ def learned_thresholds(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("metric", F.round("a", 4).alias("least"), F.round("b", 4).alias("wanted"), F.round(F.greatest(F.col("c"), largest), 4).alias("largest"))
 
 
-_SCALED = {m: f"coalesce((least(greatest({m}, {lo}), {hi}) - {lo}) / ({hi} - ({lo})), 0.5)" for m, (lo, hi) in C.SCALES.items()}
-for _m, (_lo, _hi) in C.SCALES.items():
-    _SCALED[_m] = f"coalesce(CASE WHEN {_m} IS NOT NULL THEN (least(greatest({_m}, CAST({_lo} AS DOUBLE)), CAST({_hi} AS DOUBLE)) - ({_lo})) / ({_hi} - ({_lo})) END, 0.5)"
+_SCALED = {"naturalness": "0.5"}
+for _m in NAMES:
+    _p = C.SCALES[_m]
+    _SCALED[_m] = f"CASE WHEN {_m} IS NULL THEN 0.5 WHEN {_m} <= {_p[0][0]} THEN {_p[0][1]} " + " ".join(f"WHEN {_m} < {b} THEN {low} + ({high} - {low}) * ({_m} - ({a})) / ({b} - ({a}))" for (a, low), (b, high) in zip(_p, _p[1:], strict=False)) + f" ELSE {_p[-1][1]} END"
 _SCORE = f"round(({' + '.join(f'{w} * {_SCALED[m]}' for m, w in C.PROFILES['quality'].items())}) * 100, 4)"
 
 
@@ -135,8 +136,6 @@ def score_percentiles(spark: SparkSession, folder: str) -> DataFrame:
     """The share of samples with a lower score, from counts of distinct scores instead of one global sort."""
     rows = view(spark, folder).select("id", F.round(C.score(_columns(), C.PROFILES["quality"]), 4).alias("score"))
     counts = rows.groupBy("score").agg(F.count("*").alias("n")).withColumn("band", F.floor("score"))
-    from pyspark.sql import Window
-
     bands = counts.groupBy("band").agg(F.sum("n").alias("b")).withColumn("under", F.coalesce(F.sum("b").over(Window.orderBy("band").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     inner = Window.partitionBy("band").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
     lower = counts.withColumn("own", F.coalesce(F.sum("n").over(inner), F.lit(0))).join(bands, "band").select("score", (F.col("own") + F.col("under")).alias("lower"))
@@ -147,8 +146,6 @@ def score_percentiles(spark: SparkSession, folder: str) -> DataFrame:
 @METRICS.query("top_scores", f"SELECT id, score, row_number() OVER (ORDER BY score DESC, id) AS place FROM (SELECT id, {_SCORE} AS score FROM {VIEW}) ORDER BY score DESC, id LIMIT 100")
 def top_scores(spark: SparkSession, folder: str) -> DataFrame:
     """The hundred best samples, ties by id."""
-    from pyspark.sql import Window
-
     best = A.top(scores(spark, folder).select("id", "score"), [F.desc("score"), F.col("id")], 100)
     return best.withColumn("place", F.row_number().over(Window.orderBy(F.desc("score"), "id")))
 
@@ -225,7 +222,7 @@ def failing_files(spark: SparkSession, folder: str) -> DataFrame:
     return A.top(rows, [F.desc("n"), F.col("file_path")], 10)
 
 
-_KIND = "CASE " + " ".join(f"WHEN regexp_matches(lower(coalesce(error_message, '')), '{'|'.join(w)}') THEN '{k}'" for k, w in S.ERROR_WORDS.items()) + " ELSE 'unknown' END"
+_KIND = "CASE " + " ".join("WHEN " + " AND ".join(f"regexp_matches(lower(coalesce(error_message, '')), '{'|'.join(w)}')" for w in lists) + f" THEN '{k}'" for k, lists in S.ERROR_WORDS) + " ELSE 'unknown_error' END"
 
 
 @METRICS.query("error_kinds", f"SELECT category, {_KIND} AS kind, count(*) AS n FROM error_records GROUP BY 1, 2")

@@ -38,8 +38,8 @@ k AS (SELECT *, {_D}(r, e) / {_D}(r, r) AS scale FROM s)
 SELECT event_id, round(least(40, 10 * log10({_D}(clean, clean) / {_D}(diff, diff))), 4) AS snr, round(10 * log10(scale * scale * {_D}(r, r) / ({_D}(e, e) - 2 * scale * {_D}(r, e) + scale * scale * {_D}(r, r))), 4) AS si_sdr FROM k""")
 def signal_ratios(spark: SparkSession, folder: str) -> DataFrame:
     """Noise and distortion of the noisy against the clean signal."""
-    c, x = F.col("clean"), F.col("noisy")
-    return _signals(spark, folder).select("event_id", F.round(A.snr_db(c, x), 4).alias("snr"), F.round(A.si_sdr_db(c, x), 4).alias("si_sdr"))
+    rows = A.with_ratios(_signals(spark, folder).select("event_id", "clean", "noisy"), "clean", "noisy")
+    return rows.select("event_id", F.round("snr", 4).alias("snr"), F.round("si_sdr", 4).alias("si_sdr"))
 
 
 @SIGNALS.query("signal_features")
