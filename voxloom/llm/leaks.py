@@ -11,6 +11,7 @@ once for each block and never shuffled.
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -90,8 +91,6 @@ def tiles(at: np.ndarray, place: np.ndarray, width: int) -> list[tuple[int, int,
     a, d = at[order], diagonal[order]
     head = np.flatnonzero(np.r_[True, (d[1:] != d[:-1]) | (a[1:] != a[:-1] + 1)])
     size = np.diff(np.r_[head, len(a)]) + width - 1
-    import heapq
-
     heap = [(-int(n), int(a[k]), int(a[k] - d[k])) for k, n in zip(head, size, strict=True)]
     heapq.heapify(heap)
     taken_a: set[int] = set()

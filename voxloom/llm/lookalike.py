@@ -13,11 +13,12 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter, defaultdict
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from voxloom.llm.visible import CYRILLIC, CYRILLIC_AS, GREEK, GREEK_AS, skeleton
 from voxloom.session import cut_lineage
@@ -126,21 +127,17 @@ def fit_bigrams(df: DataFrame, text: str) -> dict[tuple[str, str, str], int]:
     return {(r.s, r.x, r.y): r.n for r in parts.groupBy("s", "x", "y").sum("n").withColumnRenamed("sum(n)", "n").toLocalIterator()}
 
 
-def _normaliser(counts: dict[tuple[str, str, str], int]) -> Callable[[], Lattice]:
-    return lambda: Lattice(counts)
-
-
 def consistent_text(df: DataFrame, text: str, output: str) -> DataFrame:
     """Add ``output``: the column ``text`` in its one consistent form.
 
     Null stays null and blank text becomes empty. All other columns are passed on; an existing
     column ``output`` is replaced. Equal rows give equal rows, and an empty table an empty one.
     """
-    make = _normaliser(fit_bigrams(df, text))
+    counts = fit_bigrams(df, text)
     plain = df.drop(output) if output != text else df
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        form = make()
+        form = Lattice(counts)
         for batch in batches:
             new = pa.array([None if t is None else form(t) for t in batch.column(text).to_pylist()], pa.string())
             names = [n for n in batch.schema.names if n != output]
@@ -156,10 +153,10 @@ def lookalike_classes(df: DataFrame, key: str, text: str) -> DataFrame:
     Rows share a class if and only if their texts look the same. Null and blank texts have no
     class: nothing is to be seen of them.
     """
-    make = _normaliser(fit_bigrams(df, text))
+    counts = fit_bigrams(df, text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        form = make()
+        form = Lattice(counts)
         signed = lambda x: x - (1 << 64) if x >> 63 else x
         for batch in batches:
             ids, k1, k2, hs = [], [], [], []
@@ -183,8 +180,6 @@ def lookalike_pairs(df: DataFrame, key: str, text: str) -> DataFrame:
     copies it has, are left out before anything is joined. Repeated rows of an id give no pair
     and no second row. Null ids, and null or blank texts, give nothing.
     """
-    from pyspark.sql import functions as F
-
     rows = cut_lineage(lookalike_classes(df, key, text), "lookalike")
     mixed = rows.groupBy("k1", "k2").agg(F.min("h").alias("lo"), F.max("h").alias("hi")).where("lo < hi").select("k1", "k2")
     rows = cut_lineage(rows.join(mixed, ["k1", "k2"], "left_semi").distinct(), "lookalike-mixed")

@@ -11,7 +11,7 @@ CYRILLIC_AS = "ABEKMHOPCTXSIJaeopcyxsijhdqw"
 GREEK = "ΑΒΕΖΗΙΚΜΝΟΡΤΥΧΙονϲϳ"
 GREEK_AS = "ABEZHIKMNOPTYXIovcj"
 # Characters without look-alike letters in another script that are drawn the same.
-SAME_SIGN = {"‐": "-", "‑": "-", "Ð": "Đ", "Ɖ": "Đ", "ʼ": "’", "ı̇": "i"}
+SAME_SIGN = {"‐": "-", "‑": "-", "Ð": "Đ", "Ɖ": "Đ", "ʼ": "’"}
 # Invisible characters that the category Cf doesn't hold.
 INVISIBLE = {0x034F, 0x115F, 0x1160, 0x17B4, 0x17B5, 0x3164, 0xFFA0, *range(0x180B, 0x1810), *range(0xFE00, 0xFE10), *range(0xE0100, 0xE01F0)}
 # Kinds of compatibility mapping that leave the look of a character unchanged but for its width.
