@@ -41,21 +41,17 @@ def script(char: str) -> str:
 
 
 def bigrams(tokens: Counter[str]) -> Counter[tuple[str, str, str]]:
-    """Bigrams of the tokens that are surely of one script, with their counts."""
+    """Bigrams of the tokens that are written in one script, with their counts."""
     out: Counter[tuple[str, str, str]] = Counter()
     for token, n in tokens.items():
         scripts = {script(c) for c in token}
-        if len(scripts) == 1 and not all(_reading(c) for c in token):
+        if len(scripts) == 1:
             s = scripts.pop()
             for x, y in zip(f"^{token}", f"{token}$", strict=True):
                 out[s, x, y] += n
     return out
 
 
-def _reading(char: str) -> dict[str, str] | None:
-    return _READINGS.get(char) or (_READINGS.get(_LATIN[char]) if char in _LATIN else None)
-
-
 _LATIN = {x: latin for latin, readings in _READINGS.items() for x in readings.values()}
 
 
