@@ -319,16 +319,21 @@ def _gained(x: np.ndarray, gain: Callable[[np.ndarray], np.ndarray], size: int =
     return out[hop : hop + len(x)]
 
 
+def _noise_floor(p: np.ndarray) -> np.ndarray:
+    """Mean noise power of each frequency: noise power is exponential, so its tenth percentile is -ln(0.9) of the mean."""
+    return np.percentile(p, 10, axis=0) / -np.log(0.9) + 1e-12
+
+
 def gated(x: np.ndarray, factor: float = 2.0, floor: float = 0.1) -> np.ndarray:
-    """Spectral gate: what is under a multiple of each frequency's tenth percentile is turned down."""
-    return _gained(x, lambda p: np.where(p > factor * np.percentile(p, 10, axis=0), 1.0, floor))
+    """Spectral gate: what is under a multiple of each frequency's noise floor is turned down."""
+    return _gained(x, lambda p: np.where(p > factor * _noise_floor(p), 1.0, floor))
 
 
 def wiener(x: np.ndarray, smoothing: float = 0.98, floor: float = 0.1) -> np.ndarray:
-    """Decision-directed Wiener filter; noise is each frequency's tenth percentile."""
+    """Decision-directed Wiener filter over each frequency's noise floor."""
 
     def gain(p: np.ndarray) -> np.ndarray:
-        noise = np.percentile(p, 10, axis=0) + 1e-12
+        noise = _noise_floor(p)
         out, clean = np.empty_like(p), np.zeros(p.shape[1])
         for i, row in enumerate(p):
             prior = smoothing * clean / noise + (1 - smoothing) * np.maximum(row / noise - 1, 0)
@@ -343,7 +348,7 @@ def subtracted(x: np.ndarray, over: float = 1.5, floor: float = 0.1) -> np.ndarr
     """Spectral subtraction with gains smoothed over time."""
 
     def gain(p: np.ndarray) -> np.ndarray:
-        g = np.sqrt(np.maximum(1 - over * np.percentile(p, 10, axis=0) / np.maximum(p, 1e-12), floor**2))
+        g = np.sqrt(np.maximum(1 - over * _noise_floor(p) / np.maximum(p, 1e-12), floor**2))
         return (g + np.vstack([g[:1], g[:-1]])) / 2
 
     return _gained(x, gain)
