@@ -97,6 +97,8 @@ def test_texts_without_language(spark, examples):
     rows = [("1", None, "th"), ("2", "  ", None), ("3", "[INAUDIBLE]", None), ("4", "12 30", None), ("5", "โอเคครับ", "th_TH"), ("6", "โอเคครับ", None), ("7", "ก" * 50_000, "en"), (None, "โอเคครับ", "")]
     df = spark.createDataFrame(rows, "id string, t string, l string")
     assert {tuple(x) for x in unnamed_languages(df, "id", "t", "l", model).collect()} == {("6", "th"), ("7", "th"), (None, "th")}
+    loans = [("8", "she carefully opened the old book with a friend last week เธออ่าน Podcast ริมคลอง", "en"), ("9", "เธออ่าน noise floor ริมคลองกับเพื่อน", "th")]
+    assert {tuple(x) for x in unnamed_languages(spark.createDataFrame(loans, "id string, t string, l string"), "id", "t", "l", model).collect()} == {("8", "th")}
     assert language_passages(df.limit(0), "id", "t", model).count() == 0
     from pyspark.sql import functions as F
 

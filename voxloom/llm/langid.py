@@ -196,6 +196,20 @@ def fit_on(rows: Sequence[tuple[str, str]]) -> LanguageModel:
     return model
 
 
+def _join_around_loans(runs: list[list]) -> None:
+    """Runs of one script with nothing but short Latin runs between them are a clause if they are one together."""
+    for kind in ("Thai", "Laoo", "Hani"):
+        group: list[list] = []
+        for r in [*runs, [0, 0, "", 0, True]]:
+            if r[2] == kind:
+                group.append(r)
+            elif r[2] != "Latn" or r[4]:
+                if sum(g[3] for g in group) >= CLAUSE[kind][0]:
+                    for g in group:
+                        g[4] = True
+                group = []
+
+
 def _pieces(model: LanguageModel, text: str) -> list[tuple[int, int]]:
     """Passages of a consistent text that may be of different languages, as bounds.
 
@@ -209,6 +223,7 @@ def _pieces(model: LanguageModel, text: str) -> list[tuple[int, int]]:
         runs.append([m.start(), m.end(), kind, letters, letters >= CLAUSE[kind][0] and (kind != "Latn" or len(_WORD.findall(m[0])) >= CLAUSE[kind][1])])
     if not runs:
         return []
+    _join_around_loans(runs)
     full = [r for r in runs if r[4]]
     if not full:
         kinds: dict[str, int] = {}
