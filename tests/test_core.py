@@ -99,6 +99,10 @@ def test_signal_measures(spark):
     df = spark.createDataFrame([("a", x.tolist(), (x + noise).tolist()), ("b", x.tolist(), (3 * x).tolist()), ("c", None, [1.0]), ("d", [0.0, 0.0], [1.0, 2.0])], "k string, r array<double>, e array<double>")
     got = {r.k: r for r in A.with_ratios(df, "r", "e").collect()}
     assert got["a"].snr == pytest.approx(10 * np.log10((x**2).sum() / (noise**2).sum()), abs=1e-6) and got["b"].si_sdr == 100
+    levels = {r.k: r for r in A.with_levels(df.drop("e"), "r").collect()}
+    assert levels["a"].peak == pytest.approx(0.5, abs=1e-3) and levels["c"].rms is None and levels["d"].db == -100
+    columns = df.select("k", A.rms(F.col("r")).alias("rms"), A.energy_db(F.col("r")).alias("db"), A.peak(F.col("r")).alias("peak"), A.zero_crossings(F.col("r")).alias("z"), A.snr_db(F.col("r"), F.col("e")).alias("snr")).where("k = 'a'").first()
+    assert (columns.rms, columns.peak, columns.snr) == pytest.approx((levels["a"].rms, levels["a"].peak, got["a"].snr)) and 0.1 < columns.z < 0.12
     assert got["c"].snr is None and got["d"].si_sdr is None
     assert A.blind_snr(np.r_[noise[:4000] * 0.01, x], 8000) > 30 and A.percentile_snr(np.zeros(100)) == 40
     assert A.spectral_shape(x, 8000)["centroid"] == pytest.approx(440, abs=30)

@@ -368,6 +368,24 @@ def pair_sums(a: pa.Array, b: pa.Array) -> tuple[np.ndarray, ...]:
     return size, total(x), total(y), total(x * x), total(y * y), total(x * y), total((x - y) ** 2)
 
 
+def with_levels(df: DataFrame, array: str) -> DataFrame:
+    """Add ``rms``, ``db`` (-100 for silence) and ``peak`` of each signal, null where it is null or empty. The signal is dropped."""
+    kept = [f for f in df.schema.fields if f.name not in (array, "rms", "db", "peak")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            size, _, _, power, _, _, _ = pair_sums(batch.column(array), batch.column(array))
+            x = np.abs(batch.column(array).flatten().to_numpy(zero_copy_only=False).astype(np.float64))
+            some = size > 0
+            top = np.zeros(len(size))
+            top[some] = np.maximum.reduceat(x, (np.cumsum(size) - size)[some]) if len(x) else 0
+            rms_ = np.sqrt(power / np.maximum(size, 1))
+            db = np.where(rms_ < 1e-10, -100.0, 20 * np.log10(np.maximum(rms_, 1e-300)))
+            yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in kept), *(pa.array(v, mask=~some) for v in (rms_, db, top))], [*(f.name for f in kept), "rms", "db", "peak"])
+
+    return df.mapInArrow(run, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), "rms double, db double, peak double"]))
+
+
 def with_ratios(df: DataFrame, reference: str, estimate: str, cap: float = 40.0, low: float = -20.0, high: float = 100.0) -> DataFrame:
     """Add ``snr`` (``cap`` at most and without noise) and the scale-invariant ``si_sdr`` (between ``low`` and ``high``), in dB.
 

@@ -28,8 +28,8 @@ def _signals(spark: SparkSession, folder: str) -> DataFrame:
 SELECT event_id, round(sqrt({_D}(noisy, noisy) / 160), 6) AS rms, round(20 * log10(sqrt({_D}(noisy, noisy) / 160)), 4) AS db, round(list_max(list_transform(noisy, lambda v: abs(v))), 6) AS peak, 0.02 AS seconds FROM {_SIGNAL}""")
 def signal_levels(spark: SparkSession, folder: str) -> DataFrame:
     """Level, peak and length of every signal."""
-    x = F.col("noisy")
-    return _signals(spark, folder).select("event_id", F.round(A.rms(x), 6).alias("rms"), F.round(A.energy_db(x), 4).alias("db"), F.round(A.peak(x), 6).alias("peak"), A.seconds(x, F.col("rate")).alias("seconds"))
+    rows = _signals(spark, folder).withColumn("seconds", A.seconds(F.col("noisy"), F.col("rate"))).select("event_id", "noisy", "seconds")
+    return A.with_levels(rows, "noisy").select("event_id", F.round("rms", 6).alias("rms"), F.round("db", 4).alias("db"), F.round("peak", 6).alias("peak"), "seconds")
 
 
 @SIGNALS.query("signal_ratios", f"""
