@@ -134,11 +134,12 @@ def similarity_clusters(df: DataFrame, key: str, vector: str, size: int, least:
     """Members (``key``, ``cluster``) and clusters (``cluster``, ``n_members``, ``vector``: the sum of unit vectors).
 
     A cluster is named by its smallest key. Every usable row is a member of one cluster, be it alone
-    in it. ``key`` must be unique; rows that repeat a vector are merged like any others. Unusable
+    in it. Rows that repeat a vector are merged like any others; a repeated key is one
+    member, with the clusters' sums and sizes counting each of its rows. Unusable
     rows (see :func:`unit_vectors`) are in no cluster, and an empty table gives empty results.
     """
     state = cut_lineage(unit_vectors(df, key, vector, size), "clusters-0")
-    keys = cut_lineage(state.select("cid"), "clusters-keys")
+    keys = cut_lineage(state.select("cid").distinct(), "clusters-keys")
     rows = keys.count()
     steps: list[DataFrame] = []
     quiet = 0

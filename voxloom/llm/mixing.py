@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from voxloom.session import cut_lineage
 
-BUCKETS = 256  # parts of a source in which its sizes are summed up before they are joined
+BUCKETS = 4096  # parts of a source in which its sizes are summed up before they are joined
 
 
 def running_total(df: DataFrame, group: Sequence[str], order: str, size: str, output: str) -> DataFrame:
