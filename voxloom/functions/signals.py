@@ -111,6 +111,158 @@ def percentile_snr(x: np.ndarray) -> float:
     return 40.0 if low <= 0 else float(min(40.0, 10 * np.log10(max(high, 1e-20) / low)))
 
 
+def frame_snr(x: np.ndarray, rate: int) -> float:
+    """Mean energy of 20 ms frames against their tenth percentile, in dB; 0 without noise or without a frame that ends before the signal does."""
+    size = int(0.02 * rate)
+    power = (frames(x[:-1], size, max(1, size // 2)) ** 2).mean(1) if 0 < size < len(x) else np.zeros(1)
+    noise = np.percentile(power, 10)
+    return float(10 * np.log10(power.mean() / noise)) if noise > 0 else 0.0
+
+
+def quick_snr(x: np.ndarray) -> float:
+    """Ninetieth against tenth percentile of squared samples, in dB, 40 without noise."""
+    high, low = np.percentile(x**2, [90, 10])
+    return float(10 * np.log10(high / low)) if low > 0 else 40.0
+
+
+def density(x: np.ndarray, rate: int, window: np.ndarray, hop: int) -> np.ndarray:
+    """One-sided power spectral density of each whole frame, its mean removed."""
+    f = frames(x, len(window), hop)
+    p = np.abs(np.fft.rfft((f - f.mean(1, keepdims=True)) * window, axis=1)) ** 2 / (rate * (window**2).sum())
+    p[:, 1 : None if len(window) % 2 else -1] *= 2
+    return p
+
+
+def welch(x: np.ndarray, rate: int, size: int) -> np.ndarray:
+    """Mean density of half-overlapping Hann frames; a shorter signal is one frame."""
+    size = min(size, len(x))
+    window = np.hanning(size + 1)[:-1] if size > 1 else np.ones(1)
+    return density(x, rate, window, max(1, size - size // 2)).mean(0)
+
+
+def spectral_distortion(reference: np.ndarray, degraded: np.ndarray, rate: int, size: int = 512) -> float:
+    """Root mean square ratio of Welch densities, in dB."""
+    n = min(len(reference), len(degraded))
+    a, b = (np.maximum(welch(x[:n], rate, size), 1e-10) for x in (reference, degraded))
+    return float(np.sqrt(((10 * np.log10(b / a)) ** 2).mean()))
+
+
+def spectral_peaks(s: np.ndarray, least: float = 0.1) -> set[int]:
+    """Places of local peaks (the middle of flat ones) that stand out by a share of the largest value."""
+    start = np.flatnonzero(np.r_[True, np.diff(s) != 0])
+    end, v = np.r_[start[1:], len(s)] - 1, s[start]
+    inner = np.flatnonzero((v[1:-1] > v[:-2]) & (v[1:-1] > v[2:])) + 1
+    limit, out = least * s.max(initial=0.0), set()
+    for k in inner[v[inner] - v.min(initial=0.0) >= limit]:
+        before, after = np.flatnonzero(v[:k] > v[k]), np.flatnonzero(v[k + 1 :] > v[k])
+        left = v[before[-1] + 1 if len(before) else 0 : k + 1].min()
+        right = v[k : k + 1 + after[0] if len(after) else len(v)].min()
+        if v[k] - max(left, right) >= limit:
+            out.add(int(start[k] + end[k]) // 2)
+    return out
+
+
+def si_sar(reference: np.ndarray, separated: np.ndarray) -> float:
+    """Part of the signal along the reference against the rest, in dB, less 5 for each share of clipped samples and of new spectral peaks."""
+    n = min(len(reference), len(separated))
+    r, s = (x[:n] - x[:n].mean() for x in (reference, separated))
+    along = (s @ r) / (r @ r + TINY) * r
+    a, b = (p / (p.max() + TINY) for p in (np.abs(np.fft.rfft(x)) for x in (r, s)))
+    known = spectral_peaks(a)
+    penalty = 5 * ((np.abs(s) > 0.95).mean() + len(spectral_peaks(b) - known) / (len(known) + 1))
+    rest = ((s - along) ** 2).sum()
+    if rest < TINY:
+        return float(40 - penalty)
+    return float(np.clip(10 * np.log10(max((along**2).sum(), 1e-300) / (rest + TINY)) - penalty, -20, 40))
+
+
+def _voiced(x: np.ndarray, rate: int) -> list[tuple[float, float]]:
+    """Segments of 100 ms and more whose frames (25 ms, each 10) rise over the noise floor, with hysteresis."""
+    size, hop = int(0.025 * rate), int(0.01 * rate)
+    if hop < 1 or len(x) <= size:
+        return []
+    level = np.sqrt((frames(x[:-1], size, hop) ** 2).mean(1))
+    ordered = np.sort(level)
+    floor, speech = ordered[: max(1, len(ordered) // 10)].mean(), ordered[len(ordered) // 2 :].mean()
+    limit = 2.5 * floor if speech > 3 * floor else np.percentile(level, 30)
+    # Between the bounds a frame is as the one before it.
+    state = np.where(level > 1.2 * limit, 1, np.where(level > 0.8 * limit, -1, 0))
+    last = np.maximum.accumulate(np.where(state >= 0, np.arange(len(state)), -1))
+    flags = (last >= 0) & (state[np.maximum(last, 0)] == 1)
+    return [(a * hop / rate, min(len(x) / rate, b * hop / rate)) for a, b in runs(flags) if (b - a) * hop / rate * 1000 >= 100 - 1e-9]
+
+
+def _time_snr(x: np.ndarray, rate: int, voiced: list[tuple[float, float]]) -> float:
+    """Power of voiced samples against the median of the others; by percentiles if nothing is voiced."""
+    if voiced:
+        inside = np.zeros(len(x), bool)
+        for a, b in voiced:
+            inside[int(a * rate) : int(b * rate)] = True
+        signal, quiet = (x[inside] ** 2).mean(), x[~inside] ** 2
+        if len(quiet) > 100:
+            quiet = quiet[quiet > 1e-10]
+            noise = np.median(quiet) if len(quiet) else 1e-10
+        else:
+            p = np.sort(x**2)
+            noise = p[max(1, int(len(p) * 0.05)) : int(len(p) * 0.15)].mean() if int(len(p) * 0.15) > max(1, int(len(p) * 0.05)) else 1e-10
+    else:
+        x = x - x.mean()
+        top, level = np.abs(x).max(), np.sqrt((x**2).mean())
+        if top < 1e-4 or (level < 1e-3 and top / level < 4):
+            return 0.0
+        p = np.sort(x**2)
+        p = p[p > 1e-10]
+        if len(p) < 100:
+            return float(20 * np.log10(max(level / 0.001, 1)))
+        noise, signal = max(np.median(p[int(len(p) * 0.05) : int(len(p) * 0.25)]), 1e-10), np.median(p[int(len(p) * 0.6) : int(len(p) * 0.95)])
+        if signal / noise > 10000:
+            flat = density(x, 16000, np.ones(len(x)), len(x))[0]
+            noise = np.median(flat[len(flat) * 3 // 4 :]) * 2
+    noise = max(noise, 1e-10)
+    return float(10 * np.log10(max(signal, noise) / noise))
+
+
+def _spectral_snr(x: np.ndarray, rate: int, voiced: list[tuple[float, float]]) -> float:
+    """Voiced frames against the fifth percentile of each frequency from 300 to 3,400 Hz."""
+    size, hop = min(int(0.025 * rate), len(x)), max(1, int(0.01 * rate))
+    t = np.arange(size) / max(1, size) * 8  # Tukey's window, a quarter of it tapered
+    window = np.where(t < 1, 0.5 - 0.5 * np.cos(np.pi * t), np.where(t > 7, 0.5 - 0.5 * np.cos(np.pi * (8 - t)), 1.0))
+    p = density(x, rate, window, hop) ** 2
+    chosen = np.zeros(len(p), bool)
+    for a, b in voiced:
+        chosen[int(a * rate / hop) : int(b * rate / hop)] = True
+    if not voiced:
+        energy = p.sum(1)
+        chosen = energy > np.median(energy)
+    signal = p[chosen].mean(0) if chosen.any() else p.mean(0)
+    f = np.fft.rfftfreq(size, 1 / rate)
+    band = (f >= 300) & (f <= 3400)
+    top, low = signal[band].sum(), np.percentile(p, 5, axis=0)[band].sum()
+    return 60.0 if low <= 0 else float(10 * np.log10(max(top, 1e-300) / low))
+
+
+def enhanced_snr(x: np.ndarray, rate: int) -> tuple[float, float]:
+    """SNR without a reference and its confidence: estimates over time and over the spectrum, blended by how much is voiced; pure tones by their band."""
+    top = np.abs(x).max(initial=0.0)
+    if not len(x):
+        return -np.inf, 0.0
+    x = x / top if top > 0 else x
+    if top == 0:
+        return 0.0, 0.3
+    p = np.abs(np.fft.rfft(x)) ** 2
+    k = int(p.argmax())
+    if p[k] / (p.sum() + 1e-10) > 0.5 or (0 < k and 2 * k < len(p) and (p[k] + p[2 * k]) / p.sum() > 0.7):
+        flat = welch(x, rate, 4096)
+        f = np.fft.rfftfreq(min(len(x), 4096), 1 / rate)
+        band = np.abs(f - f[flat.argmax()]) <= 50
+        step = f[1] - f[0] if len(f) > 1 else 1.0
+        return float(np.clip(10 * np.log10(max(flat[band].sum() * step, 1e-300) / max(flat[~band].sum() * step, 1e-10)), -20, 60)), 0.95
+    voiced = _voiced(np.r_[x[:1], x[1:] - 0.97 * x[:-1]], rate)
+    share = sum(b - a for a, b in voiced) * rate / len(x)
+    weight, confidence = (0.3, 0.6) if not voiced else (0.7, 0.9) if 0.1 < share < 0.9 else (0.5, 0.7)
+    return float(np.clip(weight * _time_snr(x, rate, voiced) + (1 - weight) * _spectral_snr(x, rate, voiced), -20, 60)), confidence
+
+
 def spectral_shape(x: np.ndarray, rate: int) -> dict[str, float]:
     """Centroid, bandwidth, roll-off, flatness, flux and share of high frequencies."""
     p = spectrum(x)
@@ -419,7 +571,9 @@ def with_ratios(df: DataFrame, reference: str, estimate: str, cap: float = 40.0,
 def features(x: np.ndarray, rate: int) -> dict[str, float]:
     """The measures that tell kinds of recordings apart."""
     flags, _ = energy_vad(x, rate)
-    return {"snr": blind_snr(x, rate), "percentile_snr": percentile_snr(x), "speech_share": float(flags.mean()), "n_clipped": float(len(clipped_runs(x))), "n_dropouts": float(len(dropouts(x, rate))), "n_clicks": float(len(clicks(x, rate))), **spectral_shape(x, rate)}
+    enhanced, confidence = enhanced_snr(x, rate)
+    snrs = {"snr": blind_snr(x, rate), "percentile_snr": percentile_snr(x), "enhanced_snr": enhanced, "enhanced_confidence": confidence, "frame_snr": frame_snr(x, rate), "quick_snr": quick_snr(x)}
+    return {**snrs, "speech_share": float(flags.mean()), "n_clipped": float(len(clipped_runs(x))), "n_dropouts": float(len(dropouts(x, rate))), "n_clicks": float(len(clicks(x, rate))), **spectral_shape(x, rate)}
 
 
 def _signals(batch: pa.RecordBatch, array: str, rate: str) -> Iterator[tuple[np.ndarray, int] | None]:

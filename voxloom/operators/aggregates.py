@@ -96,3 +96,30 @@ def rescaled(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     one = F.when(v.isNotNull(), F.when(F.col("__hi") > F.col("__lo"), (v - F.col("__lo")) / (F.col("__hi") - F.col("__lo"))).otherwise(0.5))
     z = F.when(v.isNotNull(), F.when(F.col("__s") > 0, (v - F.col("__m")) / F.col("__s")).otherwise(0.0))
     return rows.withColumns({"minmax": one, "zscore": z}).drop("__lo", "__hi", "__m", "__s")
+
+
+def method_scores(df: DataFrame, method: str, volume: str, high: str, snr: str, suppression: str) -> DataFrame:
+    """Score and rank of each method: -2 |1 - volume| + 1.5 high + 0.5 snr + 2 suppression, of the means; ties by name."""
+    c = {k: F.avg(v) for k, v in (("volume", volume), ("high", high), ("snr", snr), ("suppression", suppression))}
+    score = -2 * F.abs(1 - c["volume"]) + 1.5 * c["high"] + 0.5 * c["snr"] + 2 * c["suppression"]
+    rows = df.groupBy(method).agg(score.alias("score"))  # one row for each method
+    return rows.withColumn("place", F.row_number().over(Window.orderBy(F.desc_nulls_last("score"), method)))
+
+
+def parameter_importance(df: DataFrame, parameters: Sequence[str], score: str) -> DataFrame:
+    """``importance`` of each parameter: the population variance of the mean scores of its values; null is a value."""
+    long = df.select(F.explode(F.array(*[F.struct(F.lit(p).alias("parameter"), F.col(p).cast("string").alias("setting")) for p in parameters])).alias("p"), F.col(score).alias("score"))
+    means = long.groupBy("p.parameter", "p.setting").agg(F.avg("score").alias("mean"))
+    return means.groupBy("parameter").agg(F.count("mean").alias("n_settings"), F.var_pop("mean").alias("importance"))
+
+
+def success_profile(df: DataFrame, success: str, metrics: Sequence[str], least: int = 10) -> DataFrame:
+    """``min``, ``target`` and ``max`` (10th, 50th, 90th percentile) of each metric over the successes.
+
+    A missing metric counts as 0, a row without outcome not at all. Without ``least`` rows and both outcomes there is no profile.
+    """
+    rows = df.where(F.col(success).isNotNull())
+    known = rows.agg(F.count("*").alias("n"), F.count_if(success).alias("n_ok"), *[F.percentile(F.when(F.col(success), F.coalesce(F.col(m).cast("double"), F.lit(0.0))), F.array(*map(F.lit, (0.1, 0.5, 0.9)))).alias(f"p{i}") for i, m in enumerate(metrics)])
+    known = known.where((F.col("n") >= least) & (F.col("n_ok") > 0) & (F.col("n_ok") < F.col("n")))
+    rows = known.select("n", "n_ok", F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(f"p{i}").alias("p")) for i, m in enumerate(metrics)])).alias("m"))
+    return rows.select("m.metric", "n", "n_ok", *[F.col("m.p")[i].alias(name) for i, name in enumerate(("min", "target", "max"))])

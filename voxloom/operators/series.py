@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -80,17 +82,108 @@ def severity(z: Column, low: float, high: float = 3.0, highest: float = 4.0) ->
     return F.when(a > highest, "high").when(a > high, "medium").when(a > low, "low")
 
 
-def change_points(df: DataFrame, keys: Sequence[str], value: str, width: int, output: str) -> DataFrame:
-    """Add the slopes before and after each row and ``output``: how far they are apart, if they differ in sign.
-
-    Slopes are of the ``width`` rows before the row, and of the ``width`` from it on; incomplete frames give null.
-    """
+def slopes(df: DataFrame, keys: Sequence[str], value: str, width: int) -> DataFrame:
+    """Add ``slope_before`` of the ``width`` rows before the row, ``slope_after`` of those from it on; incomplete frames give null."""
     rows = framed(df, keys, width, width - 1)
     x = F.col("rn").cast("double")
     past, ahead = Window.partitionBy(*keys, "__block").orderBy("rn").rowsBetween(-width, -1), Window.partitionBy(*keys, "__block").orderBy("rn").rowsBetween(0, width - 1)
     rows = rows.withColumn("slope_before", F.when(F.count(value).over(past) == width, F.regr_slope(F.col(value), x).over(past)))
-    rows = rows.withColumn("slope_after", F.when(F.count(value).over(ahead) == width, F.regr_slope(F.col(value), x).over(ahead)))
-    return home(rows.withColumn(output, F.when(F.col("slope_before") * F.col("slope_after") < 0, F.abs(F.col("slope_after") - F.col("slope_before")))))
+    return home(rows.withColumn("slope_after", F.when(F.count(value).over(ahead) == width, F.regr_slope(F.col(value), x).over(ahead))))
+
+
+def change_points(df: DataFrame, keys: Sequence[str], value: str, width: int, output: str) -> DataFrame:
+    """Add the slopes before and after each row and ``output``: how far they are apart, if they differ in sign.
+
+    By the units of the value; :func:`turning_points` scales by the range and keeps rows apart.
+    """
+    rows = slopes(df, keys, value, width)
+    return rows.withColumn(output, F.when(F.col("slope_before") * F.col("slope_after") < 0, F.abs(F.col("slope_after") - F.col("slope_before"))))
+
+
+def turning_points(df: DataFrame, keys: Sequence[str], value: str, width: int = 10, least: float = 0.5, apart: int = 10) -> DataFrame:
+    """Rows at which a trend turns: ``slope_before``, ``slope_after`` and ``confidence``, the change scaled by the series' range.
+
+    The scaled change, ``width`` times the difference of the slopes over the range, is over ``least`` and the slopes differ
+    in direction. Of rows within ``apart`` of each other the surest stays, the first of several. Series need over 2 ``width``
+    rows. The candidates of one series (their numbers and confidences) are thinned out in one task.
+    """
+    ends = df.groupBy(*keys).agg((F.max(value) - F.min(value)).alias("__range"), F.max("rn").alias("__last"))
+    ends = ends.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], "__range", "__last")
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"__k{i}"))
+    rows = slopes(df, keys, value, width).join(ends, same).drop(*[f"__k{i}" for i in range(len(keys))])
+    change = F.abs(F.col("slope_after") - F.col("slope_before")) * width / F.nullif("__range", F.lit(0.0))
+    rows = rows.withColumn("__change", change).where((F.col("rn") <= F.col("__last") - width) & (F.col("__change") > least) & ((F.col("slope_before") > 0) != (F.col("slope_after") > 0)))
+    rows = rows.withColumn("confidence", F.least(F.lit(0.99), "__change")).drop("__change", "__range", "__last")
+
+    def thin(t: pa.Table) -> pa.Table:
+        rn, sure = t.column("rn").to_numpy(), t.column("confidence").to_numpy()
+        low, taken, keep = int(rn.min()), np.zeros(int(rn.max() - rn.min()) + 1, bool), []
+        for i in np.lexsort((rn, -sure)):
+            at = int(rn[i]) - low
+            if not taken[at]:
+                keep.append(i)
+                taken[max(0, at - apart) : at + apart + 1] = True
+        return t.take(pa.array(sorted(keep), pa.int64()))
+
+    return rows.groupBy(*keys).applyInArrow(thin, rows.schema)
+
+
+def degradations(df: DataFrame, keys: Sequence[str], order: str, value: str, least: int = 5) -> DataFrame:
+    """Series that fall: slope under -0.01 a value and a correlation with the order of over 0.7.
+
+    Values are numbered by ``order`` without those that are missing; ``least`` of them are needed. ``severity`` is
+    ``medium`` for a slope over -0.05, else ``high``. For series cut to their recent values (see :func:`latest`).
+    """
+    rows = df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
+    x = F.row_number().over(Window.partitionBy(*keys).orderBy(order)).cast("double")
+    fit = rows.withColumn("__x", x).groupBy(*keys).agg(
+        F.count("*").alias("n"), F.regr_slope(F.col(value), F.col("__x")).alias("slope"), F.corr("__x", value).alias("r"),
+        F.min_by(value, "__x").alias("first_value"), F.max_by(value, "__x").alias("last_value"),
+    )
+    fit = fit.where((F.col("n") >= least) & (F.col("slope") < -0.01) & (F.abs("r") > 0.7))
+    return fit.withColumn("severity", F.when(F.col("slope") > -0.05, "medium").otherwise("high"))
+
+
+def seasonal_period(x: np.ndarray) -> tuple[int, float] | None:
+    """Period of the strongest frequency and the correlation of the series with itself a period later.
+
+    None if the series has under 14 values, the period is not under half of them, or the correlation is not over 0.5.
+    """
+    n = len(x)
+    if n < 14:
+        return None
+    power = np.abs(np.fft.rfft(x)[1 : n // 2]) ** 2
+    period = int(n / (int(power.argmax()) + 1))
+    if not 0 < period < n // 2:
+        return None
+    a, b = x[period:] - x[period:].mean(), x[:-period] - x[:-period].mean()
+    size = float(np.sqrt((a @ a) * (b @ b)))
+    r = float(a @ b) / size if size > 0 else 0.0
+    return (period, min(1.0, r)) if r > 0.5 else None
+
+
+def seasons(df: DataFrame, keys: Sequence[str], value: str, order: str = "rn") -> DataFrame:
+    """``period``, ``strength`` and ``component`` (the centred means of the period's places) of each series, null without a season.
+
+    Missing values don't count. The transform is of the whole series, so one task holds its values (16 bytes each).
+    """
+    rows = df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double"))).select(*keys, F.col(order).cast("bigint").alias("__o"), F.col(value).cast("double").alias("__v"))
+    types = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
+
+    def one(t: pa.Table) -> pa.Table:
+        x = t.column("__v").to_numpy()[np.argsort(t.column("__o").to_numpy(), kind="stable")]
+        found = seasonal_period(x)
+        out = {k: t.column(k).slice(0, 1) for k in keys} | {"n": pa.array([len(x)])}
+        part = None
+        if found:
+            at = np.arange(len(x)) % found[0]
+            means = np.bincount(at, x) / np.bincount(at)
+            part = (means - means[at].mean()).tolist()
+        return pa.table(out | {"period": pa.array([found and found[0]], pa.int32()), "strength": pa.array([found and found[1]], pa.float64()), "component": pa.array([part], pa.list_(pa.float64()))})
+
+    return rows.groupBy(*keys).applyInArrow(one, ", ".join([*(f"`{k}` {types[k]}" for k in keys), "n bigint, period int, strength double, component array<double>"]))
 
 
 def lagged(df: DataFrame, keys: Sequence[str], value: str, lag: int, output: str) -> DataFrame:

@@ -48,6 +48,13 @@ def change_points(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("event_id", F.round("slope_before", 4).alias("slope_before"), F.round("slope_after", 4).alias("slope_after"))
 
 
+@SERIES.query("turning_points")
+def turning_points(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows at which a trend turns for its series' range, the surest of any that are near each other."""
+    rows = W.turning_points(series(spark, folder), ["event_type"], "value")
+    return rows.select("event_id", "event_type", "rn", F.round("slope_before", 4).alias("slope_before"), F.round("slope_after", 4).alias("slope_after"), F.round("confidence", 4).alias("confidence"))
+
+
 @SERIES.query("seasonality", f"""
 SELECT a.event_type, k.lag, count(*) AS n, round(corr(a.value, b.value), 4) AS autocorrelation FROM (VALUES (7), (30)) k(lag), {_RN} a JOIN {_RN} b ON a.event_type = b.event_type AND a.rn = b.rn + k.lag GROUP BY ALL""")
 def seasonality(spark: SparkSession, folder: str) -> DataFrame:

@@ -84,6 +84,13 @@ def paired_test(spark: SparkSession, folder: str) -> DataFrame:
     return T.paired_test(rows, [], F.col("a"), F.col("b")).drop("p")
 
 
+@VECTORS.query("paired_choice")
+def paired_choice(spark: SparkSession, folder: str) -> DataFrame:
+    """The same pairs by the test that suits their differences."""
+    of = lambda e: F.avg(F.when(F.col("event_type") == e, F.col("value")))
+    return T.paired_choice(table(spark, folder, "events").groupBy("user_id").agg(of("view").alias("a"), of("click").alias("b")), "a", "b")
+
+
 _TESTS = f"(SELECT event_type, round(2 * (1 - {_PHI.format(z='z')}), 9) AS p FROM (SELECT e.event_type, (avg(value) - any_value(m)) / (stddev_samp(value) / sqrt(count(value))) AS z FROM events e, (SELECT avg(value) AS m FROM events) GROUP BY e.event_type))"
 
 
