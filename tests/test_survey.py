@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from voxloom.functions import signals as A
 from voxloom.operators import aggregates as G
+from voxloom.operators import records as R
 from voxloom.operators import series as W
 from voxloom.operators import statistics as T
 
@@ -94,3 +95,13 @@ def test_further_signal_measures():
     assert A.spectral_peaks(np.array([0, 1, 0.95, 1, 0, 0.5, 0.5, 0.5, 0.2])) == {1, 3, 6}
     assert A.si_sar(x, x) == 40 and A.si_sar(x, x + 0.4 * np.sin(2 * np.pi * 1000 * np.arange(8000) / 8000)) == pytest.approx(20 * np.log10(0.5 / 0.4) - 2.5, abs=1e-2)
     assert {"enhanced_snr", "frame_snr", "quick_snr"} <= set(A.features(x, 8000))
+
+
+def test_every_source_takes_turns(spark, sf):
+    from voxloom.plans.records import interleaved_all
+
+    df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), (None, 4), (None, 5)], "s string, t int")
+    got = {r.t: r.turn for r in R.interleaved(df, "s", ["t"], F.col("t"), {"a": 2.0}).collect()}
+    assert got == {1: 0.5, 2: 1.0, 3: 1.0, 4: 1.0, 5: 2.0}
+    out = interleaved_all(spark, sf)
+    assert out.where("turn is not null").count() == spark.read.parquet(f"{sf}/samples.parquet").select("id").distinct().count()

@@ -68,11 +68,11 @@ def quota(df: DataFrame, split: str, order: Sequence[str], n: int, splits: Seque
 
 
 def interleaved(df: DataFrame, source: str, order: Sequence[str], bucket: Column, weights: Mapping[str, float] | None = None) -> DataFrame:
-    """Add ``turn``: the place of a row when sources take turns, by weight if weights are given."""
+    """Add ``turn``: the place of a row when sources take turns, by weight if weights are given; 1 for a source without one. A null source takes turns too."""
     rows = numbered(df, [source], order, bucket, "__rn")
     pace = F.lit(1.0)
     if weights:
-        pace = F.coalesce(*[F.when(F.col(source) == s, F.lit(float(w))) for s, w in weights.items()])
+        pace = F.coalesce(*[F.when(F.col(source) == s, F.lit(float(w))) for s, w in weights.items()], F.lit(1.0))
     return rows.withColumn("turn", F.round(F.col("__rn") / pace, 6)).drop("__rn")
 
 

@@ -161,6 +161,15 @@ def interleaved(spark: SparkSession, folder: str) -> DataFrame:
     return R.interleaved(rows, "dataset", ["recorded_at", "id"], F.to_date("recorded_at"), {s: 2.0 if s == SOURCES[0] else 1.0 for s in SOURCES}).select("id", "turn")
 
 
+@RECORDS.query("interleaved_all", f"""
+SELECT id, dataset, round(row_number() OVER (PARTITION BY dataset ORDER BY day NULLS FIRST, recorded_at NULLS FIRST, id) / CASE dataset WHEN 'gigaspeech2' THEN 2.0 ELSE 1.0 END, 6) AS turn FROM (
+  SELECT id, recorded_at, CAST(recorded_at AS DATE) AS day, {PLAIN} AS dataset FROM ({ONCE}))""")
+def interleaved_all(spark: SparkSession, folder: str) -> DataFrame:
+    """Every source that is present taking turns, records without one as a source of their own."""
+    rows = _once(spark, folder).select("id", "recorded_at", S.plain_name(F.col("dataset_name")).alias("dataset"))
+    return R.interleaved(rows, "dataset", ["recorded_at", "id"], F.to_date("recorded_at"), {SOURCES[0]: 2.0}).select("id", "dataset", "turn")
+
+
 @RECORDS.query("selectivity", f"""
 SELECT count(*) AS n, round(avg(CASE WHEN language = 'th' THEN 1.0 ELSE 0.0 END) * 100, 4) AS thai_percent,
   round(avg(CASE WHEN length BETWEEN 0.01 AND 3600 THEN CAST(length AS DOUBLE) END), 4) AS mean_seconds FROM ({ONCE})""")
