@@ -7,6 +7,9 @@ block all mutual best pairs at or over the threshold are merged at once, round a
 there is none. Later passes use other hyperplanes over ever fewer clusters. The first passes merge
 only closer pairs, so that near pairs come before far ones across blocks too.
 
+Passes may keep the last near pairs in different blocks. When they find no more, the clusters left
+are compared with all others, block against block, and merged until none is near another.
+
 A block holds about ``BLOCK`` clusters whatever the number of rows or of copies; a group that fills
 many blocks shrinks in each of them and meets itself in the next passes.
 """
@@ -126,6 +129,40 @@ def _pass(state: DataFrame, rows: int, least: float, seed: int, size: int) -> Da
     return (laid.coalesce(1) if blocks == 1 else laid).mapInArrow(merge, f"{_STATE}, into bigint")
 
 
+def _close_pairs(state: DataFrame, rows: int, least: float, size: int) -> DataFrame:
+    """``keep`` and ``gone`` of the clusters that are each other's best at or over the threshold, all compared with all.
+
+    Blocks of ``BLOCK`` clusters meet every block once; ties go to the smallest cid.
+    """
+    blocks = -(-rows // BLOCK)
+    block = F.pmod(F.xxhash64("cid"), F.lit(blocks)).cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    laid = state.withColumn("block", block).withColumn("other", other)
+    laid = laid.select("cid", "n", "vector", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+
+    def meet(t: pa.Table) -> pa.Table:
+        cid, n, own, i, j = (t.column(c).to_numpy() for c in ("cid", "n", "block", "i", "j"))
+        mean = t.column("vector").combine_chunks().flatten().to_numpy().reshape(-1, size) / n[:, None].astype(np.float32)
+        order = np.argsort(cid, kind="stable")
+        a, b = order[own[order] == i[0]], order[own[order] == j[0]]
+        if not len(a) or not len(b):
+            return pa.table({"cid": pa.array([], pa.int64()), "with": pa.array([], pa.int64()), "value": pa.array([], pa.float32())})
+        near = mean[a] @ mean[b].T
+        if i[0] == j[0]:
+            np.fill_diagonal(near, -2)
+            near = np.maximum(near, near.T)
+        ways = [(a, b[near.argmax(1)], near.max(1)), (b, a[near.argmax(0)], near.max(0))]
+        one, two, value = (np.concatenate(x) for x in zip(*ways, strict=True))
+        close = value >= least
+        return pa.table({"cid": cid[one[close]], "with": cid[two[close]], "value": value[close].astype(np.float32)})
+
+    near = laid.groupBy("i", "j").applyInArrow(meet, "cid bigint, with bigint, value float")
+    best = near.groupBy("cid").agg(F.max(F.struct("value", (-F.col("with")).alias("with"))).alias("b")).select("cid", (-F.col("b.with")).alias("best"))
+    best = cut_lineage(best, "clusters-best")
+    back = best.select(F.col("cid").alias("best"), F.col("best").alias("cid"))
+    return best.join(back, ["cid", "best"]).where("cid < best").select(F.col("cid").alias("keep"), F.col("best").alias("gone"))
+
+
 def _with_into(batch: pa.RecordBatch, into: pa.Array) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([*batch.columns, into], [*batch.schema.names, "into"])
 
@@ -142,7 +179,7 @@ def similarity_clusters(df: DataFrame, key: str, vector: str, size: int, least:
     keys = cut_lineage(state.select("cid").distinct(), "clusters-keys")
     rows = keys.count()
     steps: list[DataFrame] = []
-    quiet = 0
+    quiet, exact = 0, False
     for number in range(MOST_PASSES):
         threshold = max(least, EARLY[number]) if number < len(EARLY) and rows > BLOCK else least
         both = cut_lineage(_pass(state, rows, threshold, 1000 + number, size), f"clusters-{number + 1}")
@@ -152,10 +189,23 @@ def similarity_clusters(df: DataFrame, key: str, vector: str, size: int, least:
         state = both.where("into is null").select("cid", "n", "vector")
         if left < rows:
             steps.append(cut_lineage(links, "clusters-links"))
+        exact = rows <= BLOCK  # the pass had one block, which leaves nothing near
         quiet = quiet + 1 if left == rows and threshold == least else 0
         if quiet >= QUIET or rows <= BLOCK:
             break
         rows = left
+    # Blocks may have kept some pairs apart: what is left is compared exactly until nothing is near.
+    while rows > 1 and not exact:
+        pairs = cut_lineage(_close_pairs(state, rows, least, size), "clusters-pairs")
+        merged = pairs.count()
+        if not merged:
+            break
+        steps.append(pairs.select(F.col("gone").alias("cid"), F.col("keep").alias("into")))
+        taken = state.join(pairs.withColumnRenamed("gone", "cid"), "cid").select(F.col("keep").alias("cid"), F.col("n").alias("more"), F.col("vector").alias("other"))
+        left_over = state.join(pairs.select(F.col("gone").alias("cid")), "cid", "left_anti").join(taken, "cid", "left")
+        both = F.zip_with("vector", "other", lambda x, y: x + y)
+        state = cut_lineage(left_over.select("cid", (F.col("n") + F.coalesce("more", F.lit(0))).alias("n"), F.coalesce(both, "vector").alias("vector")), "clusters-exact")
+        rows -= merged
     found = keys.sparkSession.createDataFrame([], "cid bigint, into bigint")
     for links in reversed(steps):  # what a cluster took in goes where the cluster went later
         later = found.select(F.col("cid").alias("into"), F.col("into").alias("last"))
