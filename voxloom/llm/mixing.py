@@ -2,8 +2,9 @@
 
 Each source is a stream of blocks of a fixed size. Its k-th block (k = 1, 2, ...) is released at
 (k - 1) / weight and due at k / weight; serving the earliest deadline first keeps every source
-within one block of its share at any point of the mix. Because a deadline follows from the block's
-number alone, the whole schedule is one sort by (deadline, source), which is distributed.
+within one block and one record (records are not divided) of its share at any point of the mix. Because a deadline follows from the block's
+number alone, the whole schedule is one sort by (deadline, source), which is distributed; a record is in the block
+in which it begins.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from voxloom.operators.series import numbered
 from voxloom.session import cut_lineage
 
 BUCKETS = 4096  # parts of a source in which its sizes are summed up before they are joined
@@ -38,8 +40,8 @@ def mixed(df: DataFrame, key: str, source: Column, size: Column, targets: DataFr
     Every source of ``targets`` contributes its share of the total size, which is as large as the
     scarcest source allows when each record is used at most ``repeats`` times; a whole round of a
     source is used before any record of it again. Sizes are in whole units (the caller scales
-    them), a block is ``block`` units. ``position`` orders the mix (the source's running size at
-    its pace), ties by source.
+    them), a block is ``block`` units. ``position`` is the record's number in the mix, from 1, by
+    deadline, source and its place in the block.
 
     Records with a null key, of no target source, or with a null or non-positive size don't
     take part; of repeated keys of a source the one of largest size counts once. Sources with no usable
@@ -72,10 +74,10 @@ def mixed(df: DataFrame, key: str, source: Column, size: Column, targets: DataFr
     # A record is taken if most of it lies within the source's goal.
     used = used.where(F.col("through") - F.col("size") / 2 <= F.col("goal"))
     used = used.withColumn("block", F.floor((F.col("through") - F.col("size")) / block).cast("bigint") + 1)
-    return used.select(
-        "source", "key", "copy", "size", "block",
-        (F.col("block") / F.col("w")).alias("deadline"), ((F.col("block") - 1) / F.col("w")).alias("release"), (F.col("through") / F.col("w")).alias("position"),
-    )
+    used = used.withColumn("deadline", F.col("block") / F.col("w"))
+    part = F.floor(F.col("deadline") / max(1.0, total / block) * BUCKETS)
+    used = numbered(used, [], ["deadline", "source", "through"], part, "position")
+    return used.select("source", "key", "copy", "size", "block", "deadline", ((F.col("block") - 1) / F.col("w")).alias("release"), F.col("position").cast("double").alias("position"))
 
 
 def shares_reached(mix: DataFrame) -> DataFrame:
