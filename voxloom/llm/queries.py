@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxloom.llm.chunking import pieces
@@ -50,16 +50,21 @@ FROM n WHERE split IS NOT NULL GROUP BY number HAVING count(DISTINCT split) > 1
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     """Speakers whose samples carry more than one split: components that the given splits tear apart."""
     samples = table(spark, folder, "samples").select("id", "split", speaker_number(F.col("speaker_id")).alias("number"))
-    rows = with_components(samples.where("number is not null and split is not null"), "id", {"speaker": F.col("number")})
-    torn = rows.groupBy("component").agg(F.min("number").alias("number"), F.min("split").alias("lo"), F.max("split").alias("hi")).where("lo <> hi")
+    rows = with_components(samples, "id", _entities()).where("number is not null and split is not null")
+    # A component may hold several speakers, not all of them torn.
+    torn = rows.groupBy("component", "number").agg(F.min("split").alias("lo"), F.max("split").alias("hi")).where("lo <> hi")
     return torn.select(speaker_name(F.col("number")).alias("speaker_id"))
 
 
+def _entities() -> dict[str, Column]:
+    # A record that was ingested again is linked to itself by its id, whatever its speaker says.
+    return {"speaker": F.col("number"), "record": F.col("id")}
+
+
 def _assigned(spark: SparkSession, folder: str) -> DataFrame:
     samples = table(spark, folder, "samples").select("id", F.col("split").alias("given"), speaker_number(F.col("speaker_id")).alias("number"))
     targets = [(r.split, r.target_share) for r in table(spark, folder, "split_targets").collect()]  # one row for each split
-    # A record that was ingested again is linked to itself by its id, whatever its speaker says.
-    return assign_splits(samples, "id", {"speaker": F.col("number"), "record": F.col("id")}, targets, "split")
+    return assign_splits(samples, "id", _entities(), targets, "split")
 
 
 @LLM.query("p3_assigned")
