@@ -1,17 +1,18 @@
 """One consistent form for text that looks the same in different characters.
 
 Ignorable characters are deleted and compatibility forms that look alike are mapped; what is
-left ambiguous is the script of look-alike letters. Each token is a lattice with a letter of
-every possible script at every place, and the best path under character bigram scores that
-are kept apart by script (a change of script within a token is penalised) is the token's form.
-The lattice is built from the token's skeleton, so strings that look the same always get the
-same form, and strings that don't never do.
+left ambiguous is the script of look-alike letters. Each token is a lattice with, at every place,
+the letters of all scripts that look like the one written there, and the best path under character
+bigram scores that are kept apart by script (a change of script within a token is penalised) is
+the token's form: the path alone decides in which script a letter comes out. Equal-looking tokens have
+equal lattices, so they get one form, and a path never leaves the looks of its places, so others don't.
 """
 
 from __future__ import annotations
 
 import math
 import re
+import unicodedata
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
@@ -20,31 +21,40 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voxloom.llm.visible import CYRILLIC, CYRILLIC_AS, GREEK, GREEK_AS, skeleton
-from voxloom.session import cut_lineage
+from voxloom.llm.visible import ARMENIAN, CHEROKEE, CYRILLIC, GREEK, LOOKS_LIKE, visible
+from voxloom.session import cut_lineage, drop_table
 
 SWITCH = -8.0
 SMOOTHING = 0.5
-_TOKEN = re.compile("[A-Za-zÀ-ɏͰ-ϿЀ-ԯḀ-῿]+")
-_OTHER = re.compile("[Ͱ-ϿЀ-ԯ]")
-_READINGS: dict[str, dict[str, str]] = defaultdict(dict)
-for _letters, _as, _script in ((GREEK, GREEK_AS, "Grek"), (CYRILLIC, CYRILLIC_AS, "Cyrl")):
-    for _x, _latin in zip(_letters, _as, strict=True):
-        _READINGS[_latin].setdefault(_script, _x)
-for _latin in _READINGS:
-    _READINGS[_latin]["Latn"] = _latin
+PART = 1024  # rows of one string that meet the rows of another in one group
+_FOREIGN = "Ͱ-ϿЀ-ԯԱ-֏Ꭰ-Ᏼἀ-῿"
+_TOKEN = re.compile(f"[A-Za-zÀ-ɏɑɡḀ-ỿ{_FOREIGN}\u0300-\u036f]+")
+_OTHER = re.compile(f"[ɑɡ{_FOREIGN}]")
 
 
-def script(char: str) -> str:
+def script(char: str) -> str | None:
+    """The script of a letter of a token; None for a mark, which belongs to any."""
     point = ord(char)
-    return "Grek" if 0x370 <= point < 0x400 or 0x1F00 <= point else "Cyrl" if 0x400 <= point < 0x530 else "Latn"
+    if point < 0x370:
+        return None if 0x300 <= point else "Latn"
+    if point < 0x400 or 0x1F00 <= point < 0x2000:
+        return "Grek"
+    return "Cyrl" if point < 0x530 else "Armn" if point < 0x590 else "Cher" if 0x13A0 <= point < 0x1400 else "Latn"
+
+
+# By look, the letter of each script that is drawn so.
+_READINGS: dict[str, dict[str, str]] = defaultdict(dict)
+for _letter in GREEK + CYRILLIC + ARMENIAN + CHEROKEE:
+    _READINGS[LOOKS_LIKE[_letter]].setdefault(script(_letter), _letter)
+for _latin in set(LOOKS_LIKE.values()):
+    _READINGS[_latin]["Latn"] = _latin
 
 
 def bigrams(tokens: Counter[str]) -> Counter[tuple[str, str, str]]:
     """Bigrams of the tokens that are written in one script, with their counts."""
     out: Counter[tuple[str, str, str]] = Counter()
     for token, n in tokens.items():
-        scripts = {script(c) for c in token}
+        scripts = {script(c) for c in token} - {None}
         if len(scripts) == 1:
             s = scripts.pop()
             for x, y in zip(f"^{token}", f"{token}$", strict=True):
@@ -52,9 +62,6 @@ def bigrams(tokens: Counter[str]) -> Counter[tuple[str, str, str]]:
     return out
 
 
-_LATIN = {x: latin for latin, readings in _READINGS.items() for x in readings.values()}
-
-
 class Lattice:
     """Viterbi decoding of look-alike letters under per-script bigram scores."""
 
@@ -63,38 +70,55 @@ class Lattice:
         self.total: Counter[str] = Counter()
         self.script: Counter[str] = Counter()
         for (s, x, _), n in counts.items():
-            self.total[_LATIN.get(x, x)] += n
+            self.total[LOOKS_LIKE.get(x, x)] += n
             self.script[s] += n
+        everything = sum(self.script.values())
+        self.prior = {s: math.log((self.script[s] + 1) / (everything + 5)) for s in ("Latn", "Grek", "Cyrl", "Armn", "Cher")}
+        self.foreign = any(n for s, n in self.script.items() if s != "Latn")
         self.known: dict[str, str] = {}
+        self.scores: dict[tuple[str, str, str], float] = {}
 
     def score(self, s: str, x: str, y: str) -> float:
         """Log of the bigram's share among all spellings that look like ``x`` and a next letter."""
-        return math.log((self.counts.get((s, x, y), 0) + SMOOTHING) / (self.total[_LATIN.get(x, x)] + 100 * SMOOTHING))
+        at = (s, x, y)
+        if at not in self.scores:
+            self.scores[at] = math.log((self.counts.get(at, 0) + SMOOTHING) / (self.total[LOOKS_LIKE.get(x, x)] + 100 * SMOOTHING))
+        return self.scores[at]
 
     def token(self, token: str) -> str:
-        """The best spelling of a token of skeleton letters."""
-        if token in self.known:
-            return self.known[token]
-        places = [_READINGS.get(c) or {script(c): c} for c in token]
-        best = token
-        if any(len(p) > 1 for p in places) and set.intersection(*[set(p) for p in places]) - {"Latn"} or any("Latn" not in p for p in places):
-            everything = sum(self.script.values())
-            paths = {s: (math.log((self.script[s] + 1) / (everything + 3)) + self.score(s, "^", c), c) for s, c in sorted(places[0].items(), key=lambda x: x[0] != "Latn")}
+        """The best spelling of a token, whichever of its spellings is given."""
+        parts = [LOOKS_LIKE.get(c, c) for c in unicodedata.normalize("NFD", token)]
+        look = "".join(parts)
+        if look in self.known:
+            return self.known[look]
+        marks, places = [""], []
+        for c in parts:
+            s = script(c)
+            if s is None:
+                marks[-1] += c
+            else:
+                places.append(_READINGS.get(c) or {s: c})
+                marks.append("")
+        best = ""
+        if places:
+            # Latin is tried first, so that it wins where scripts score alike.
+            paths = {s: (self.prior[s] + self.score(s, "^", c), c) for s, c in sorted(places[0].items(), key=lambda x: (x[0] != "Latn", x[0]))}
             for place in places[1:]:
                 paths = {
                     s: max(
-                        ((w + (self.score(s, path[-1], c) if s == before else SWITCH), path + c) for before, (w, path) in paths.items()),
+                        ((w + (self.score(s, path[-1], c) if s == before else SWITCH + self.score(s, "^", c)), path + c) for before, (w, path) in paths.items()),
                         key=lambda x: x[0],
                     )
-                    for s, c in sorted(place.items(), key=lambda x: x[0] != "Latn")
+                    for s, c in sorted(place.items(), key=lambda x: (x[0] != "Latn", x[0]))
                 }
             best = max((w + self.score(s, path[-1], "$"), s == "Latn", path) for s, (w, path) in paths.items())[2]
-        self.known[token] = best
-        return best
+        out = self.known[look] = unicodedata.normalize("NFC", marks[0] + "".join(c + m for c, m in zip(best, marks[1:], strict=True)))
+        return out
 
     def __call__(self, text: str) -> str:
-        t = skeleton(text)
-        if not self.script["Cyrl"] and not self.script["Grek"] and not _OTHER.search(t):
+        t = visible(text)
+        # With letters and counts of Latin only, the path through Latin is the best: the others have its looks, but no counts.
+        if not self.foreign and not _OTHER.search(t):
             return t
         if len(self.known) > 500_000:
             self.known.clear()
@@ -146,8 +170,8 @@ def consistent_text(df: DataFrame, text: str, output: str) -> DataFrame:
 def lookalike_classes(df: DataFrame, key: str, text: str) -> DataFrame:
     """For each row with a visible text: ``id``, its class (``k1``, ``k2``) and its exact string (``h``).
 
-    Rows share a class if and only if their texts look the same. Null and blank texts have no
-    class: nothing is to be seen of them.
+    The class is a hash of the text's consistent form, so rows share a class if and only if the lattice gives
+    their texts one form. Null and blank texts have no class: nothing is to be seen of them.
     """
     counts = fit_bigrams(df, text)
 
@@ -168,20 +192,43 @@ def lookalike_classes(df: DataFrame, key: str, text: str) -> DataFrame:
     return df.select(df[key].cast("string").alias("id"), df[text].alias("text")).mapInArrow(run, "id string, k1 bigint, k2 bigint, h bigint")
 
 
+def _of_mixed_classes(df: DataFrame, key: str, text: str) -> DataFrame:
+    """Rows, once each, of the classes that hold more than one string."""
+    rows = cut_lineage(lookalike_classes(df, key, text), "lookalike")
+    mixed = rows.groupBy("k1", "k2").agg(F.min("h").alias("lo"), F.max("h").alias("hi")).where("lo < hi").select("k1", "k2")
+    kept = cut_lineage(rows.join(mixed, ["k1", "k2"], "left_semi").distinct(), "lookalike-mixed")
+    drop_table(rows)
+    return kept
+
+
+def lookalike_members(df: DataFrame, key: str, text: str) -> DataFrame:
+    """One row for each id and string that looks like another: ``id``, ``class`` (its smallest id), ``n_strings``, ``n_links``.
+
+    ``n_links`` is the number of other rows of the class whose string is a different one. It is as long as the
+    table at most, however many copies a string has. Null ids, and null or blank texts, give nothing.
+    """
+    rows = _of_mixed_classes(df, key, text)
+    strings = rows.groupBy("k1", "k2", "h").agg(F.count("*").alias("n"), F.min("id").alias("first"))
+    classes = strings.groupBy("k1", "k2").agg(F.sum("n").alias("whole"), F.count("*").alias("n_strings"), F.min("first").alias("class"))
+    counted = strings.join(classes, ["k1", "k2"]).select("k1", "k2", "h", "class", "n_strings", (F.col("whole") - F.col("n")).alias("n_links"))
+    return rows.join(counted, ["k1", "k2", "h"]).select("id", "class", "n_strings", "n_links")
+
+
 def lookalike_pairs(df: DataFrame, key: str, text: str) -> DataFrame:
     """Pairs of rows whose texts are different strings that look the same: ``id_a`` < ``id_b``.
 
-    Only strings are compared with each other, one for each group of exact copies; the rows of
-    two strings that look the same are then joined. Classes of a single string, however many
-    copies it has, are left out before anything is joined. Repeated rows of an id give no pair
-    and no second row. Null ids, and null or blank texts, give nothing.
+    Only strings are compared with each other, one for each group of exact copies. The rows of two strings
+    that look the same meet in groups of at most about ``PART`` by ``PART``, so no task gets all copies of a string.
+    Classes of a single string, however many copies it has, are left out before anything is joined. Repeated rows of
+    an id give no pair and no second row. Null ids, and null or blank texts, give nothing. For data with many
+    copies of equal-looking strings, :func:`lookalike_members` says the same in one row an id.
     """
-    rows = cut_lineage(lookalike_classes(df, key, text), "lookalike")
-    mixed = rows.groupBy("k1", "k2").agg(F.min("h").alias("lo"), F.max("h").alias("hi")).where("lo < hi").select("k1", "k2")
-    rows = cut_lineage(rows.join(mixed, ["k1", "k2"], "left_semi").distinct(), "lookalike-mixed")
-    strings = rows.select("k1", "k2", "h").distinct()
-    a, b = strings.withColumnRenamed("h", "ha"), strings.withColumnRenamed("h", "hb")
+    rows = _of_mixed_classes(df, key, text)
+    strings = rows.groupBy("k1", "k2", "h").agg(F.ceil(F.count("*") / PART).cast("int").alias("parts"))
+    rows = rows.join(strings, ["k1", "k2", "h"]).select("k1", "k2", "h", "id", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part"))
+    a = strings.select("k1", "k2", F.col("h").alias("ha"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("pa"))
+    b = strings.select("k1", "k2", F.col("h").alias("hb"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("pb"))
     links = a.join(b, ["k1", "k2"]).where("ha < hb")
-    links = links.join(rows.select("k1", "k2", F.col("h").alias("ha"), F.col("id").alias("ia")), ["k1", "k2", "ha"])
-    links = links.join(rows.select("k1", "k2", F.col("h").alias("hb"), F.col("id").alias("ib")), ["k1", "k2", "hb"])
+    links = links.join(rows.select("k1", "k2", F.col("h").alias("ha"), F.col("part").alias("pa"), F.col("id").alias("ia")), ["k1", "k2", "ha", "pa"])
+    links = links.join(rows.select("k1", "k2", F.col("h").alias("hb"), F.col("part").alias("pb"), F.col("id").alias("ib")), ["k1", "k2", "hb", "pb"])
     return links.where("ia <> ib").select(F.least("ia", "ib").alias("id_a"), F.greatest("ia", "ib").alias("id_b")).distinct()

@@ -9,7 +9,7 @@ from voxloom.llm.chunking import pieces
 from voxloom.llm.clusters import similarity_clusters, typical_members
 from voxloom.llm.langid import fit_language_model, language_passages, unnamed_languages
 from voxloom.llm.leaks import leaked_items
-from voxloom.llm.lookalike import consistent_text, lookalike_pairs
+from voxloom.llm.lookalike import consistent_text, lookalike_members, lookalike_pairs
 from voxloom.llm.mixing import mixed, shares_reached
 from voxloom.llm.packing import packed, token_sizes
 from voxloom.llm.splits import assign_splits, speaker_name, speaker_number, with_components
@@ -30,6 +30,12 @@ def p1_found(spark: SparkSession, folder: str) -> DataFrame:
     return lookalike_pairs(table(spark, folder, "samples"), "id", "transcript")
 
 
+@LLM.query("p1_classes")
+def p1_classes(spark: SparkSession, folder: str) -> DataFrame:
+    """The samples of p1_found in one row each: the class of equal-looking transcripts and the number of links."""
+    return lookalike_members(table(spark, folder, "samples"), "id", "transcript")
+
+
 @LLM.query("p1_consistent")
 def p1_consistent(spark: SparkSession, folder: str) -> DataFrame:
     """Every transcript in its one consistent form."""

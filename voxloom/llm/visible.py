@@ -5,11 +5,17 @@ from __future__ import annotations
 import re
 import unicodedata
 
-# Letters of other scripts drawn like a Latin letter, and the Latin letters they look like.
-CYRILLIC = "АВЕКМНОРСТХЅІЈаеорсухѕіјһԁԛԝ"
-CYRILLIC_AS = "ABEKMHOPCTXSIJaeopcyxsijhdqw"
-GREEK = "ΑΒΕΖΗΙΚΜΝΟΡΤΥΧΙονϲϳ"
-GREEK_AS = "ABEZHIKMNOPTYXIovcj"
+# Letters drawn like a Latin letter, by script, and the Latin letters they look like.
+CYRILLIC = "АВЕКМНОРСТХЅІЈԌԚԜѴҮӀаеорсухѕіјһԁԛԝѵүӏ"
+CYRILLIC_AS = "ABEKMHOPCTXSIJGQWVYIaeopcyxsijhdqwvyl"
+GREEK = "ΑΒΕΖΗΙΚΜΝΟΡΤΥΧϹαιονρυϲϳ"
+GREEK_AS = "ABEZHIKMNOPTYXCaıovpucj"
+ARMENIAN = "ՕՍՏոսհզցօ"
+ARMENIAN_AS = "OUSnuhqgo"
+CHEROKEE = "ᎠᎡᎢᎪᎫᎬᎳᎷᎻᎽᏀᏃᏢᏦᏩᏙᏚᏞᏟᏴ"
+CHEROKEE_AS = "DRTAJEWMHYGZPKGVSLCB"
+VARIANTS = "ɑɡ"
+VARIANTS_AS = "ag"
 # Characters without look-alike letters in another script that are drawn the same.
 SAME_SIGN = {"‐": "-", "‑": "-", "Ð": "Đ", "Ɖ": "Đ", "ʼ": "’"}
 # Invisible characters that the category Cf doesn't hold.
@@ -17,7 +23,13 @@ INVISIBLE = {0x034F, 0x115F, 0x1160, 0x17B4, 0x17B5, 0x3164, 0xFFA0, *range(0x18
 # Kinds of compatibility mapping that leave the look of a character unchanged but for its width.
 SAME_LOOK = {"<wide>", "<narrow>", "<noBreak>", "<compat>", "<isolated>", "<initial>", "<medial>", "<final>"}
 
-LOOKS_LIKE = {**dict(zip(CYRILLIC, CYRILLIC_AS, strict=True)), **dict(zip(GREEK, GREEK_AS, strict=True))}
+# Characters that a reader tells apart from what the compatibility mapping makes of them.
+OTHER_LOOK = set("ſϐϑϒϕϖϰϱϲϴϵϹ")
+
+LOOKS_LIKE = {
+    **dict(zip(CYRILLIC, CYRILLIC_AS, strict=True)), **dict(zip(GREEK, GREEK_AS, strict=True)), **dict(zip(ARMENIAN, ARMENIAN_AS, strict=True)),
+    **dict(zip(CHEROKEE, CHEROKEE_AS, strict=True)), **dict(zip(VARIANTS, VARIANTS_AS, strict=True)),
+}
 
 # Marks of Thai and of Lao in the order in which they are stacked on a consonant.
 _STACK = {
@@ -38,10 +50,10 @@ _SPACE = re.compile(" {2,}| ?\n ?")
 
 
 def _one(char: str) -> str:
-    """The visible parts of one character, decomposed, in the script that stands for its class."""
+    """The visible parts of one character, decomposed."""
     point = ord(char)
     kind = unicodedata.category(char)
-    if char in "\n  \x0b\x0c\x85":
+    if char in "\n\u2028\u2029\x0b\x0c\x85":
         return "\n"
     if kind == "Zs" or char == "\t":
         return " "
@@ -50,31 +62,46 @@ def _one(char: str) -> str:
     mapping = unicodedata.decomposition(char).split(" ")
     if char in "ำຳ":  # composed again below, so never taken apart
         return char
-    if mapping[0] in SAME_LOOK and mapping[1] != "0020":
+    if mapping[0] in SAME_LOOK and mapping[1] != "0020" and char not in OTHER_LOOK:
         return "".join(_one(chr(int(x, 16))) for x in mapping[1:])
-    parts = unicodedata.normalize("NFD", char)
-    return "".join(LOOKS_LIKE.get(c, SAME_SIGN.get(c, c)) for c in parts)
+    return "".join(SAME_SIGN.get(c, c) for c in unicodedata.normalize("NFD", char))
 
 
 class _Table(dict):
+    """Visible parts by code point, look-alike letters in their own script or in Latin."""
+
+    def __init__(self, latin: bool) -> None:
+        super().__init__()
+        self.latin = latin
+
     def __missing__(self, point: int) -> str:
-        value = self[point] = _one(chr(point))
+        parts = _one(chr(point))
+        value = self[point] = "".join(LOOKS_LIKE.get(c, c) for c in parts) if self.latin else parts
         return value
 
 
-_TABLE = _Table()
+_SKELETON, _VISIBLE = _Table(True), _Table(False)
 
 
 def skeleton(text: str) -> str:
-    """The one form of all strings that look like ``text``.
+    """The one form of all strings that look like ``text``, with every look-alike letter in Latin."""
+    return _even(text, _SKELETON)
+
 
-    Width, spaces' kind, ignorable characters, composition, the typed order of stacked marks and
-    the script of look-alike letters are evened out; case, accents, tone marks, raised digits and
-    native numerals stay. Runs of spaces and spaces at the ends count as one and none.
+def visible(text: str) -> str:
+    """The text with what can't be seen evened out, every letter in the script in which it is written.
+
+    Width, spaces' kind, ignorable characters, composition and the typed order of stacked marks
+    are evened out; case, accents, tone marks, raised digits and native numerals stay. Runs of
+    spaces and spaces at the ends count as one and none.
     """
+    return _even(text, _VISIBLE)
+
+
+def _even(text: str, table: _Table) -> str:
     t = text
     if _TO_MAP.search(t):
-        t = unicodedata.normalize("NFC", t.replace("\r\n", "\n").translate(_TABLE))
+        t = unicodedata.normalize("NFC", t.replace("\r\n", "\n").translate(table))
     t = t.replace("เเ", "แ").replace("ເເ", "ແ")
     if _DISORDER.search(t):
         t = _RUN.sub(lambda m: "".join(sorted(m[0], key=_STACK.__getitem__)), t)
