@@ -10,11 +10,11 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from voxloom.llm.fold import folded, window_hashes
-from voxloom.llm.langid import fit_on, label_names, language_passages, unnamed_languages
+from voxloom.llm.langid import fit_on, label_names, language_passages, readable, unnamed_languages
 from voxloom.llm.leaks import leaked_items, passage, tiles
-from voxloom.llm.lookalike import Lattice, bigrams, consistent_text, lookalike_pairs
+from voxloom.llm.lookalike import Lattice, bigrams, consistent_text, lookalike_members, lookalike_pairs
 from voxloom.llm.tokens import tokens_of
-from voxloom.llm.visible import skeleton
+from voxloom.llm.visible import skeleton, visible
 
 
 @pytest.mark.parametrize(
@@ -48,6 +48,30 @@ def test_lattice_reads_the_script_of_the_corpus():
         assert form(form(word)) == form(word) == form(skeleton(word))
 
 
+def test_the_path_decides_the_form():
+    counts = bigrams(__import__("collections").Counter({"привет": 50, "море": 80, "рука": 40, "podcast": 90, "paypal": 50, "hotel": 30}))
+    form = Lattice(counts)
+    for a, b, best in (("Роdсаst", "Podcast", "Podcast"), ("pаypаl", "paypal", "paypal"), ("рyкa", "pука", "рука"), ("ｍοре", "mope", None)):
+        assert visible(a) != visible(b) and form(a) == form(b) and best in (None, form(a))
+    assert form("hоtеl").isascii()
+    # Without the search these would be different strings: nothing else brings them together.
+    assert form("ᎠᎡ") == form("DR") and form("օոս") == form("onu") and form("ſo") != form("so") and form("ɡo") == form("go")
+
+
+def test_members_name_what_pairs_name(spark):
+    rows = [(f"a{k:04d}", "Hi") for k in range(1500)] + [("b1", "Ｈi"), ("b2", "Ｈi"), ("c", "Нi"), ("d", "other"), ("d", "other")]
+    df = spark.createDataFrame([(i, t, "x") for i, t in rows], "id string, transcript string, class string")
+    pairs = lookalike_pairs(df, "id", "transcript").collect()
+    members = {r.id: r for r in lookalike_members(df, "id", "transcript").collect()}
+    links = {}
+    for p in pairs:
+        for x in (p.id_a, p.id_b):
+            links[x] = links.get(x, 0) + 1
+    assert len(pairs) == 1500 * 3 + 2 == len({tuple(p) for p in pairs}) and {k: m.n_links for k, m in members.items()} == links
+    assert {(m["class"], m.n_strings) for m in members.values()} == {("a0000", 3)}
+    assert lookalike_members(df.limit(0), "id", "transcript").count() == 0
+
+
 def test_pairs_against_brute_force(spark, sf):
     rows = spark.read.parquet(f"{sf}/samples.parquet").select("id", "transcript").toPandas().drop_duplicates()
     texts = [(r.id, r.transcript, skeleton(r.transcript)) for r in rows.itertuples() if r.transcript]
@@ -73,8 +97,33 @@ def test_held_out_languages(examples):
     half = examples[examples.example_id % 2 == 0]
     model = fit_on(list(zip(half.text, half.lang, strict=True)))
     rest = examples[examples.example_id % 2 == 1]
-    langs, sure = model.decode([skeleton(t) for t in rest.text])
-    assert (np.array(langs) == rest.lang.to_numpy()).mean() > 0.97 and sure.min() > 0
+    langs, sure, far = model.decode([readable(t) for t in rest.text])
+    assert (np.array(langs) == rest.lang.to_numpy()).mean() > 0.97 and sure.min() > 0 and far.mean() < 0.05
+
+
+def test_unknown_languages_are_flagged(spark, examples):
+    model = fit_on(list(zip(examples.text, examples.lang, strict=True)))
+    rows = [
+        ("ru", "Сегодня хорошая погода, и мы идём гулять в парк"), ("ja", "日本語の文章は漢字と仮名で書かれています"), ("ko", "오늘은 날씨가 정말 좋네요 산책 갈까요"),
+        ("de", "Der Hund läuft schnell über die Straße und bellt laut"), ("en", "she carefully opened the old book ก " + "8" * 88), ("la", "Роdсаst about the weather and nothing else"), ("zh", "今天天气很好我们去公园散步吧"),
+    ]
+    got = {x.id: x for x in language_passages(spark.createDataFrame(rows, "id string, t string"), "id", "t", model).collect()}
+    assert len(got) == len(rows)
+    assert all(got[k].lang == "und" and got[k].ambiguous and got[k].confidence < 0.2 for k in ("ru", "ja", "ko"))
+    assert got["de"].ambiguous and got["de"].confidence <= 0.5
+    assert (got["en"].lang, got["la"].lang, got["zh"].lang) == ("en", "en", "zh") and not got["en"].ambiguous and not got["zh"].ambiguous
+    assert unnamed_languages(spark.createDataFrame([(*r, None) for r in rows[:3]], "id string, t string, l string"), "id", "t", "l", model).count() == 0
+
+
+def test_any_number_of_words(examples):
+    model = fit_on(list(zip(examples.text, examples.lang, strict=True)))
+    few = "old books about the weather and the sea".split()
+    first = model.passages(" ".join(few))
+    alone = model.scores[[model.index[w] for w in few]]
+    model.learn({f"{a}{b}{c}{d}" for a in "bcdfghjklmnpqrstvwxz" for b in "aeioubcdfghjklmnpqrst" for c in "bcdfghjklmnpqrstvwxzaeiou" for d in "abcdefghijklmnopqrstuvwxyz"} | {f"word{'abcdefghij'[k % 10]}{k}" for k in range(150_000)})
+    assert len(model.index) > 400_000
+    model.forget()
+    assert model.passages(" ".join(few)) == first and np.allclose(model.scores[[model.index[w] for w in few]], alone, atol=1e-6)
 
 
 def test_mixed_passages(spark, examples):
