@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_WRITTEN: dict[str, SparkSession] = {}  # folders of tables that this process wrote and has not removed
+
 
 def build_session(master: str = "local[*]", name: str = "voxloom", **conf: str) -> SparkSession:
     """A session with the defaults the operators are planned for.
@@ -31,22 +34,29 @@ def build_session(master: str = "local[*]", name: str = "voxloom", **conf: str)
 def shared_folder(spark: SparkSession) -> str:
     """The folder that all executors share: ``spark.checkpoint.dir`` where it is set.
 
-    Only where the setting is missing (tests, a laptop) a temporary folder is made and
-    remembered in the session under ``voxloom.shared.dir``.
+    Only where the setting is missing and the master is local (tests, a laptop) a temporary folder is made and
+    remembered in the session under ``voxloom.shared.dir``; on a cluster a missing setting is an error, since a folder of one
+    machine would lose rows.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
     own = spark.conf.get("voxloom.shared.dir", None)
     if not own:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         own = "file://" + tempfile.mkdtemp(prefix="voxloom-")
         spark.conf.set("voxloom.shared.dir", own)
     return own
 
 
 def table_folder(spark: SparkSession, stage: str) -> str:
-    """A fresh path for one written intermediate table."""
-    return f"{shared_folder(spark)}/voxloom/{stage}-{uuid.uuid4().hex}"
+    """A fresh path for one written intermediate table, removed by :func:`release_tables` at the latest."""
+    path = f"{shared_folder(spark)}/voxloom/{stage}-{uuid.uuid4().hex}"
+    if not _WRITTEN:
+        atexit.register(release_tables)
+    _WRITTEN[path] = spark
+    return path
 
 
 def cut_lineage(df: DataFrame, stage: str) -> DataFrame:
@@ -62,9 +72,25 @@ def cut_lineage(df: DataFrame, stage: str) -> DataFrame:
 
 def drop_table(df_path_owner: DataFrame) -> None:
     """Remove the files of a table made by :func:`cut_lineage` that nothing reads any more."""
-    spark = df_path_owner.sparkSession
-    jvm = spark.sparkContext._jvm
     for name in {f.rpartition("/")[0] for f in df_path_owner.inputFiles()}:
         if "/voxloom/" in name:
-            path = jvm.org.apache.hadoop.fs.Path(name)
-            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+            _remove(df_path_owner.sparkSession, name)
+            _WRITTEN.pop(name, None)
+
+
+def release_tables() -> None:
+    """Remove all tables that are still there, when no result that reads them is used any more.
+
+    It runs by itself when the driver's process ends.
+    """
+    for path, spark in list(_WRITTEN.items()):
+        try:
+            _remove(spark, path)
+        except Exception:  # the session is gone, or was never this one's to clean up
+            pass
+        _WRITTEN.pop(path, None)
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
