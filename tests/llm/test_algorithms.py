@@ -34,6 +34,19 @@ def test_components_against_union_find(spark):
     assert connected(spark.createDataFrame([], "u string, v string")).count() == 0
 
 
+def test_chains_of_links_are_one_component(spark):
+    r = random.Random(3)
+    # Record k shares its speaker with record k - 1 and its place with record k + 1, twenty links in a row; one hub has most records.
+    rows = [(f"r{c}-{k}", f"s{c}-{k // 2}", f"p{c}-{(k + 1) // 2}") for c in range(30) for k in range(20)] + [(f"h{k}", "hub", f"q{k}") for k in range(3000)]
+    r.shuffle(rows)
+    df = spark.createDataFrame(rows, "id string, speaker string, place string")
+    of = {}
+    for x in with_components(df, "id", {"speaker": F.col("speaker"), "place": F.col("place")}).collect():
+        of.setdefault(x.component, set()).add(x.id)
+    groups = {frozenset(v) for v in of.values()}
+    assert groups == {frozenset(f"r{c}-{k}" for k in range(20)) for c in range(30)} | {frozenset(f"h{k}" for k in range(3000))}
+
+
 def test_speakers(spark):
     names = ["SPK_00007", "spk-7", " SPK00007", "Spk_๗", "SPK_123456", "UNKNOWN", "", None, "SPK_0"]
     got = spark.createDataFrame([(n,) for n in names], "s string").select(speaker_name(speaker_number(F.col("s"))).alias("n")).collect()
