@@ -11,11 +11,10 @@ def test_no_near_clusters_are_left_apart(spark, monkeypatch):
     from voxloom.llm import clusters
 
     monkeypatch.setattr(clusters, "BLOCK", 16)
-    monkeypatch.setattr(clusters, "MOST_PASSES", 2)
     g = np.random.default_rng(7)
     x = np.concatenate([c + 0.35 * g.standard_normal((3, 32)) for c in g.standard_normal((60, 32))])
     df = spark.createDataFrame([(i + 1, v.tolist()) for i, v in enumerate(x)], "emb bigint, vector array<double>")
-    members, found = similarity_clusters(df, "emb", "vector", 32)
+    members, found = similarity_clusters(df, "emb", "vector", 32, recall=0.99999)
     of, rows = {r.emb: r.cluster for r in members.collect()}, found.collect()
     mean = np.array([r.vector for r in rows]) / np.array([r.n_members for r in rows])[:, None]
     assert np.triu(mean @ mean.T, 1).max() < 0.7 and len(rows) == len(set(of.values())) and len(of) == len(x)
@@ -25,6 +24,23 @@ def test_no_near_clusters_are_left_apart(spark, monkeypatch):
         assert min(own) == r.cluster and len(own) == r.n_members and np.allclose(unit[[k - 1 for k in own]].sum(0), r.vector, atol=1e-4)
 
 
+def test_lone_pairs_meet_at_any_number_of_blocks(spark, monkeypatch):
+    from voxloom.llm import clusters
+
+    monkeypatch.setattr(clusters, "BLOCK", 128)
+    g = np.random.default_rng(3)
+    a, b = (x / np.linalg.norm(x, axis=1, keepdims=True) for x in g.standard_normal((2, 600, 128)))
+    b = b - (a * b).sum(1, keepdims=True) * a
+    b /= np.linalg.norm(b, axis=1, keepdims=True)
+    near = np.linspace(0.7005, 0.75, 600)[:, None]
+    x = np.concatenate([a, near * a + np.sqrt(1 - near**2) * b, g.standard_normal((3000, 128))])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "emb bigint, vector array<float>")
+    of = {r.emb: r.cluster for r in similarity_clusters(df, "emb", "vector", 128)[0].collect()}
+    assert np.mean([of[i] == of[i + 600] for i in range(600)]) >= 0.97 and len(set(of.values())) >= len(x) - 600
+    chances = [clusters.meeting_chance(k, 0.7) for k in (1, 2, 30, 1000, 10**5)]
+    assert chances[0] == 1 and chances == sorted(chances, reverse=True) and chances[-1] > 0
+
+
 def test_mix_is_in_order_of_deadlines(spark):
     rows = [(f"{s}{k}", s, 1000 + 7919 * k % 90_000) for s, n in (("a", 400), ("b", 300)) for k in range(n)]
     df = spark.createDataFrame(rows, "id string, s string, ms bigint")
