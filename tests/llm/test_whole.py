@@ -1,10 +1,11 @@
 """Clusters and mixes without what blocks or the order of records would leave out."""
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from voxloom.llm.clusters import similarity_clusters
-from voxloom.llm.mixing import mixed
+from voxloom.llm.mixing import PERIOD, mixed, period_schedule, whole_weights
 
 
 def test_no_near_clusters_are_left_apart(spark, monkeypatch):
@@ -41,14 +42,34 @@ def test_lone_pairs_meet_at_any_number_of_blocks(spark, monkeypatch):
     assert chances[0] == 1 and chances == sorted(chances, reverse=True) and chances[-1] > 0
 
 
-def test_mix_is_in_order_of_deadlines(spark):
-    rows = [(f"{s}{k}", s, 1000 + 7919 * k % 90_000) for s, n in (("a", 400), ("b", 300)) for k in range(n)]
-    df = spark.createDataFrame(rows, "id string, s string, ms bigint")
-    targets = spark.createDataFrame([("a", 0.6, 1), ("b", 0.4, 2)], "name string, share double, most int")
-    got = mixed(df, "id", F.col("s"), F.col("ms"), targets, "name", "share", "most", 60_000.0).collect()
-    got.sort(key=lambda x: x.position)
-    assert [x.position for x in got] == list(range(1, len(got) + 1))
-    assert all((p.deadline, p.source) <= (q.deadline, q.source) for p, q in zip(got, got[1:], strict=False))
+@pytest.mark.parametrize(
+    "weights",
+    [{"a": 0.5, "b": 0.3, "c": 0.2}, {"h": 0.5, **{f"s{k}": 0.01 for k in range(50)}}, {"h": 0.9, **{f"s{k}": 0.01 for k in range(10)}}, {"a": 0.35, "b": 0.27, "c": 0.2, "d": 0.1, "e": 0.08}, {"a": 1 / 3, "b": 0.7, "c": 0.01234567}],
+)
+def test_every_slot_is_within_a_block(weights):
+    whole = whole_weights(weights)
+    period = sum(whole.values())
+    assert period <= PERIOD and all(abs(whole[s] / period - w / sum(weights.values())) < 2e-6 for s, w in weights.items())
+    order = np.full(period, "", dtype=object)
+    for s, x in period_schedule(whole).items():
+        order[x] = s
+        k = np.arange(1, len(x) + 1)
+        assert (x >= (k - 1) * period // whole[s]).all() and (x < -(-k * period // whole[s])).all()
+    at = np.arange(1, period + 1)
+    assert all(np.abs(np.cumsum(order == s) - at * (n / period)).max() < 1 for s, n in whole.items())
+
+
+def test_mix_serves_released_blocks_by_deadline(spark):
+    weights = {"h": 0.9, **{f"s{k}": 0.01 for k in range(10)}}
+    df = spark.createDataFrame([(f"{s}{k}", s, 1000) for s, w in weights.items() for k in range(round(w * 2000) + 3)], "id string, s string, ms bigint")
+    targets = spark.createDataFrame([(s, w, 1) for s, w in weights.items()], "name string, share double, most int")
+    got = sorted(mixed(df, "id", F.col("s"), F.col("ms"), targets, "name", "share", "most", 1000.0).collect(), key=lambda x: x.position)
+    assert [x.position for x in got] == list(range(1, len(got) + 1)) and len(got) >= 2000
+    assert all(x.release <= x.slot <= x.deadline for x in got) and all(p.slot < q.slot for p, q in zip(got, got[1:], strict=False))
+    by = dict.fromkeys(weights, 0)
+    for n, x in enumerate(got[:2000], 1):
+        by[x.source] += 1
+        assert all(abs(by[s] - w * n) < 1 for s, w in weights.items())
 
 
 def test_torn_speakers_come_out_of_the_star_steps(spark, sf, monkeypatch):

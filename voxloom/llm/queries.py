@@ -117,10 +117,7 @@ def _mix(spark: SparkSession, folder: str) -> DataFrame:
 def p5_mix(spark: SparkSession, folder: str) -> DataFrame:
     """The chosen samples with their repeats, and their places in the mix."""
     mix = _mix(spark, folder)
-    return mix.select(
-        F.col("source").alias("dataset_name"), F.col("key").alias("id"), "copy", (F.col("size") / 1000).alias("seconds"), "block",
-        F.round("release", 6).alias("release"), F.round("deadline", 6).alias("deadline"), F.round("position", 6).alias("position"),
-    )
+    return mix.select(F.col("source").alias("dataset_name"), F.col("key").alias("id"), "copy", (F.col("size") / 1000).alias("seconds"), "block", "slot", "release", "deadline", "position")
 
 
 @LLM.query("p5_shares")
