@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from voxloom.llm.chunking import RangeMaximum, pieces
 from voxloom.llm.clusters import merge_block, similarity_clusters, typical_members
 from voxloom.llm.mixing import mixed, shares_reached
-from voxloom.llm.packing import packed, packing_plan, token_sizes
+from voxloom.llm.packing import packed, packing_plan, sweep, token_sizes
 from voxloom.llm.splits import assign_splits, connected, speaker_name, speaker_number, with_components
 from voxloom.llm.tokens import tokens_of
 
@@ -134,26 +134,63 @@ def test_mix_reaches_its_shares(spark):
     assert mixed(df.limit(0), "id", F.col("s"), F.col("ms"), targets, "name", "share", "most", 60_000.0).count() == 0
 
 
-@settings(max_examples=60, deadline=None)
-@given(st.lists(st.integers(1, 50), max_size=120))
-def test_plan_is_best_fit_decreasing(sizes):
-    capacity = 50
-    plan = packing_plan(np.bincount(np.array(sizes, int), minlength=capacity + 1), capacity)
+def best_fit_decreasing(sizes, capacity):
+    gaps = []
+    for s in sorted(sizes, reverse=True):
+        fit = min((g for g in gaps if g >= s), default=None)
+        if fit is None:
+            gaps.append(capacity - s)
+        else:
+            gaps[gaps.index(fit)] -= s
+    return sorted(gaps)
+
+
+def gaps_of(placed, capacity):
     gaps = {}
-    for size, _, number, first, each in plan.tolist():
+    for size, _, number, first, each in placed:
         for k in range(number):
             c = first + k // each
             gaps[c] = gaps.get(c, capacity) - size
             assert gaps[c] >= 0
-    assert sum(plan[:, 2]) == len(sizes)
-    open_ = []
-    for s in sorted(sizes, reverse=True):
-        fit = min((g for g in open_ if g >= s), default=None)
-        if fit is None:
-            open_.append(capacity - s)
-        else:
-            open_[open_.index(fit)] -= s
-    assert len(gaps) <= len(open_) * 1.12 + 1
+    return gaps
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(1, 50), max_size=120))
+def test_a_sweep_is_best_fit_decreasing(sizes):
+    placed, none, left, opened = sweep([(s, 0, sizes.count(s)) for s in set(sizes)], [], 50, 0)
+    gaps = gaps_of(placed, 50)
+    assert sum(p[2] for p in placed) == len(sizes) and not none
+    assert sorted(gaps.values()) == best_fit_decreasing(sizes, 50) and len(gaps) == opened
+    assert sum(n for _, _, n in left) == sum(g > 0 for g in gaps.values())
+
+
+def test_rounds_are_best_fit_decreasing(spark, monkeypatch):
+    from voxloom.llm import packing
+
+    g = np.random.default_rng(5)
+    for k, (ranges, capacity) in enumerate([(512, 50), (512, 300), (16, 300), (40, 1000)]):
+        monkeypatch.setattr(packing, "RANGE", ranges)
+        sizes = np.clip(np.exp(g.normal(np.log(capacity / 6), 1.0, 2500)), 1, capacity).astype(int)
+        counts = spark.createDataFrame([(int(s), int(n)) for s, n in zip(*np.unique(sizes, return_counts=True), strict=True)], "size bigint, n bigint")
+        plan = [tuple(r) for r in packing_plan(counts, capacity).select("size", "rank", "number", "first", "each").collect()]
+        assert sum(p[2] for p in plan) == len(sizes)
+        got, want = gaps_of(plan, capacity), best_fit_decreasing(sizes.tolist(), capacity)
+        if ranges == 512:
+            assert sorted(got.values()) == want
+        else:  # several ranges are swept at once
+            assert len(got) <= 1.01 * len(want) + 1
+
+
+def test_a_size_that_most_items_share(spark):
+    rows = spark.range(0, 300_000).select("id", F.when(F.col("id") % 3 == 0, F.col("id") % 97 + 1).otherwise(100).alias("tokens"), F.lit("x").alias("size"))
+    got = packed(rows, "id", "tokens", 100)
+    whole = got.agg(F.count("*").alias("n"), F.count_distinct("id").alias("ids"), F.sum("size").alias("tokens"), F.count_distinct("container").alias("containers")).first()
+    each = got.groupBy("container").agg(F.sum("size").alias("held")).agg(F.max("held").alias("most"), F.count("*").alias("n")).first()
+    sizes = [(s, int(((np.arange(0, 300_000, 3) % 97 + 1) == s).sum())) for s in range(1, 98)]
+    placed, _, _, opened = sweep([(s, 0, n) for s, n in sizes] + [(100, 0, 200_000)], [], 100, 0)
+    assert (whole.n, whole.ids) == (300_000, 300_000) and each.most == 100 and whole.containers == each.n == opened
+    assert got.where("fill > 1 or fill <= 0").count() == 0
 
 
 def test_containers(spark, sf):
