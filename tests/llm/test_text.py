@@ -11,7 +11,7 @@ from hypothesis import strategies as st
 
 from voxloom.llm.fold import folded, window_hashes
 from voxloom.llm.langid import fit_on, label_names, language_passages, readable, unnamed_languages
-from voxloom.llm.leaks import leaked_items, passage, tiles
+from voxloom.llm.leaks import leaked, leaked_items, passage, seed_tables, tiles
 from voxloom.llm.lookalike import Lattice, bigrams, consistent_text, lookalike_members, lookalike_pairs
 from voxloom.llm.tokens import tokens_of
 from voxloom.llm.visible import skeleton, visible
@@ -191,6 +191,50 @@ def test_tiling_finds_order_and_not_shuffles(spark):
     assert leaked_items(spark.createDataFrame(docs, "doc bigint, text string"), "doc", "text", held.limit(0), "item", "text").count() == 0
 
 
+def _letters(r, n):
+    return "".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+
+
+def test_slips_at_any_distance_that_leaves_seeds():
+    r = random.Random(1)
+    for every in (18, 20, 24, 32):
+        for _ in range(10):
+            item = _letters(r, 400)
+            part = list(item[50:350])
+            for k in range(0, 300, every):
+                part[k] = r.choice([c for c in "abcdefgh" if c != part[k]])
+            letters, offsets = folded([item])
+            doc = _letters(r, 5000) + "".join(part) + _letters(r, 900)
+            assert [x[:2] for x in leaked([_letters(r, 99), doc], seed_tables(letters, offsets), np.diff(offsets), 0.5)] == [(1, 0)]
+
+
+def test_what_many_items_share_is_looked_up_once():
+    import tracemalloc
+
+    r = random.Random(2)
+    shared = _letters(r, 80)
+    items = [_letters(r, 220) + shared for _ in range(2000)] + [shared + shared[:40]]
+    letters, offsets = folded(items)
+    tables, length = seed_tables(letters, offsets), np.diff(offsets)
+    doc = "".join(_letters(r, 40) + shared for _ in range(100)) + items[7]
+    tracemalloc.start()
+    got = leaked([doc], tables, length, 0.5)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert {x[1] for x in got} == {7, 2000} and peak < 200_000_000
+
+
+def test_periodic_texts_end():
+    letters, offsets = folded(["ab" * 400, "xyz" * 100])
+    got = leaked(["ab" * 30_000 + "xyz" * 90], seed_tables(letters, offsets), np.diff(offsets), 0.5)
+    assert {x[1] for x in got} == {0, 1}
+
+
+def test_letters_beyond_the_basic_plane():
+    letters, offsets = folded(["𝐀𝐛𝐜 𠀀", "abc"])
+    assert letters[: offsets[1]].tolist() == [ord("a"), ord("b"), ord("c"), 0x20000] and letters[offsets[1] :].tolist() == letters[:3].tolist()
+
+
 def test_tiles_do_not_overlap():
     a = "abcdefghij" * 3
     at, place = zip(*[(i, j) for i in range(len(a) - 3) for j in range(len(a) - 3) if a[i : i + 4] == a[j : j + 4]], strict=True)

@@ -11,6 +11,24 @@ import numpy as np
 from voxloom.llm.visible import LOOKS_LIKE
 
 
+@cache
+def _letter(point: int) -> int:
+    char = chr(point)
+    if 0xD800 <= point < 0xF900 or not char.isalnum():
+        return 0
+    if char in "đĐ":
+        return ord("d")
+    if char in "แແ":
+        return ord("เ" if char == "แ" else "ເ")
+    parts = unicodedata.normalize("NFKD", LOOKS_LIKE.get(char, char)).lower()
+    kept = [LOOKS_LIKE.get(c, c) for c in parts if c.isalnum()]
+    if not kept:
+        return 0
+    c = kept[-1] if char in "ำຳ" else kept[0]
+    digit = unicodedata.digit(c, None)
+    return ord(c if digit is None else str(digit))
+
+
 @cache
 def letters_table() -> np.ndarray:
     """For every code point of the basic plane the letter or digit it counts as; 0 if it counts as none.
@@ -18,19 +36,7 @@ def letters_table() -> np.ndarray:
     Case, width, accents, tone marks, spaces, punctuation and invisible characters don't count,
     look-alike letters count as one letter, and native numerals as digits.
     """
-    out = np.zeros(1 << 16, np.uint32)
-    for point in range(1 << 16):
-        if 0xD800 <= point < 0xF900 or not (char := chr(point)).isalnum():
-            continue
-        parts = unicodedata.normalize("NFKD", LOOKS_LIKE.get(char, char)).lower()
-        kept = [LOOKS_LIKE.get(c, c) for c in parts if c.isalnum()]
-        if kept:
-            c = kept[-1] if char in "ำຳ" else kept[0]
-            digit = unicodedata.digit(c, None)
-            out[point] = ord(c if digit is None else str(digit))
-    out[ord("đ")] = out[ord("Đ")] = ord("d")
-    out[ord("แ")], out[ord("ແ")] = ord("เ"), ord("ເ")
-    return out
+    return np.fromiter(map(_letter, range(1 << 16)), np.uint32, 1 << 16)
 
 
 def folded(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -41,6 +47,10 @@ def folded(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
     points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
     bounds = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)))
     low = letters_table()[np.minimum(points, 0xFFFF).astype(np.uint16)]
+    beyond = np.flatnonzero(points > 0xFFFF)
+    if len(beyond):
+        kinds, which = np.unique(points[beyond], return_inverse=True)
+        low[beyond] = np.array([_letter(int(p)) for p in kinds], np.uint32)[which]
     keep = low != 0
     place = np.flatnonzero(keep)
     letters = low[place]

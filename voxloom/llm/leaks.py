@@ -1,10 +1,14 @@
 """Held-out passages inside a corpus, by greedy string tiling.
 
 Windows of folded letters that a document shares with a test item are the seeds, found by
-Karp-Rabin hashes; where seeds lie close to one diagonal, the longest common stretches are marked
+Karp-Rabin hashes; the longest common stretches are marked
 one after the other so that none overlap, and the tiles that follow each other in the item's order
 are summed. A document holds an item if such a passage covers at least a given share of it.
 
+Equal windows of items are one seed, so what many items have in common is looked up once. Pairs are tiled one at a time, and
+only if their seeds cover enough letters of the item for a passage of the share to be possible at all: no pair that tiling would
+find is left out.
+
 The items are few and are sent to every task in blocks of bounded size; the documents are read
 once for each block and never shuffled.
 """
@@ -25,24 +29,25 @@ from voxloom.llm.fold import folded, window_hashes
 
 WINDOW = 16  # letters of a seed, and the least tile
 SHORTEST = 4  # items of fewer letters don't count
-BAND = 48  # letters by which a passage's diagonal may drift
 GAP = 40  # letters between two tiles of one passage
 SLIP = 16  # letters of such a gap that count as held, a slip of a word
-HINT = 0.15  # share of an item's windows near one diagonal that makes it worth tiling
-BLOCK = 4_000_000  # letters of items in one block
+BLOCK = 1_000_000  # letters of items in one block
 CHUNK = 1_500_000  # characters of documents handled at once
+EXPANDED = 1_000_000  # windows of items that are looked at at once
 FILTER_BITS = 23
 
 
 @dataclass
 class Seeds:
-    """Windows of one width of the items of a block, sorted by hash."""
+    """Windows of one width of the items of a block: each hash once, with the items and places that have it."""
 
     width: int
     hashes: np.ndarray
+    begin: np.ndarray  # of each hash, in item and place; one more at the end
     item: np.ndarray
     place: np.ndarray
-    windows: np.ndarray
+    of_item: np.ndarray  # windows in the order of items
+    bounds: np.ndarray  # of each item, in of_item; one more at the end
     sieve: np.ndarray
 
 
@@ -60,24 +65,52 @@ def seed_tables(letters: np.ndarray, offsets: np.ndarray) -> list[Seeds]:
         place = np.arange(len(h)) - offsets[item]
         good = (width[item] == w) & (place + w <= length[item])
         order = np.argsort(h[good], kind="stable")
-        hashes = h[good][order]
+        hashes, begin = np.unique(h[good][order], return_index=True)
         sieve = np.zeros(1 << FILTER_BITS, bool)
         sieve[hashes >> np.uint64(64 - FILTER_BITS)] = True
-        out.append(Seeds(int(w), hashes, item[good][order], place[good][order], length - w + 1, sieve))
+        item, place = item[good][order], place[good][order]
+        of_item = np.argsort(item, kind="stable")
+        out.append(Seeds(int(w), hashes, np.r_[begin, len(item)], item, place, of_item, np.searchsorted(item[of_item], np.arange(len(length) + 1)), sieve))
     return out
 
 
-def _hits(seeds: Seeds, letters: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Document, item, place in the document and place in the item of all shared windows."""
-    h = window_hashes(letters, seeds.width)
-    at = np.flatnonzero(seeds.sieve[h >> np.uint64(64 - FILTER_BITS)])
-    lo = np.searchsorted(seeds.hashes, h[at])
-    n = np.searchsorted(seeds.hashes, h[at], side="right") - lo
-    doc = np.searchsorted(offsets, at, side="right") - 1
-    n[at + seeds.width > offsets[doc + 1]] = 0
-    first = np.cumsum(n) - n
-    which = np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(first, n)
-    return np.repeat(doc, n), seeds.item[which], np.repeat(at - offsets[doc], n), seeds.place[which]
+def _spread(begin: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The numbers of all ranges that begin so and are so long."""
+    return np.repeat(begin - np.cumsum(n) + n, n) + np.arange(n.sum())
+
+
+def _most(covered: np.ndarray, width: int) -> np.ndarray:
+    """The most letters that a passage may hold whose tiles lie in so many covered letters: every tile but one adds a slip."""
+    return covered + SLIP * np.maximum(covered // width - 1, 0)
+
+
+def _covered(sorted_places: np.ndarray, heads: np.ndarray, width: int) -> np.ndarray:
+    """Letters under windows of the given width at sorted places, for each group that begins at one of ``heads``."""
+    step = np.minimum(np.diff(sorted_places, append=0), width)
+    step[np.r_[heads[1:] - 1, len(step) - 1]] = width
+    return np.add.reduceat(step, heads)
+
+
+def _candidates(seeds: Seeds, doc: np.ndarray, seed: np.ndarray, length: np.ndarray, share: float) -> list[tuple[int, int]]:
+    """Documents and items whose shared windows may be enough; ``doc`` and ``seed`` are distinct pairs, in order."""
+    counts = seeds.begin[seed + 1] - seeds.begin[seed]
+    heads = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]])
+    sizes = np.cumsum(np.add.reduceat(counts, heads))
+    ends, out, start = np.r_[heads[1:], len(doc)], [], 0
+    longest = int(length.max()) + 1
+    while start < len(heads):
+        stop = max(start + 1, int(np.searchsorted(sizes, (sizes[start - 1] if start else 0) + EXPANDED, side="right")))
+        rows = slice(heads[start], ends[stop - 1])
+        which = _spread(seeds.begin[seed[rows]], counts[rows])
+        key = (np.repeat(doc[rows], counts[rows]) * len(length) + seeds.item[which]) * longest + seeds.place[which]
+        key.sort()
+        pair, place = np.divmod(key, longest)
+        first = np.flatnonzero(np.r_[True, pair[1:] != pair[:-1]])
+        item = pair[first] % len(length)
+        enough = _most(_covered(place, first, seeds.width), seeds.width) >= share * length[item]
+        out += zip((pair[first[enough]] // len(length)).tolist(), item[enough].tolist(), strict=True)
+        start = stop
+    return out
 
 
 def tiles(at: np.ndarray, place: np.ndarray, width: int) -> list[tuple[int, int, int]]:
@@ -93,24 +126,21 @@ def tiles(at: np.ndarray, place: np.ndarray, width: int) -> list[tuple[int, int,
     size = np.diff(np.r_[head, len(a)]) + width - 1
     heap = [(-int(n), int(a[k]), int(a[k] - d[k])) for k, n in zip(head, size, strict=True)]
     heapq.heapify(heap)
-    taken_a: set[int] = set()
-    taken_b: set[int] = set()
+    low_a, low_b = int(at.min()), int(place.min())
+    taken_a, taken_b = np.zeros(int(at.max()) - low_a + width, bool), np.zeros(int(place.max()) - low_b + width, bool)
     out = []
     while heap:
         n, x, y = heapq.heappop(heap)
-        n = -n
-        free = [k for k in range(n) if x + k not in taken_a and y + k not in taken_b]
-        if len(free) == n:
-            taken_a.update(range(x, x + n))
-            taken_b.update(range(y, y + n))
+        u, v, n = x - low_a, y - low_b, -n
+        taken = taken_a[u : u + n] | taken_b[v : v + n]
+        if not taken.any():
+            taken_a[u : u + n] = taken_b[v : v + n] = True
             out.append((x, y, n))
             continue
-        start = 0
-        for k in range(1, len(free) + 1):
-            if k == len(free) or free[k] != free[k - 1] + 1:
-                if k - start >= width:
-                    heapq.heappush(heap, (-(k - start), x + free[start], y + free[start]))
-                start = k
+        edges = np.flatnonzero(np.diff(np.r_[True, taken, True]))
+        for start, end in edges.reshape(-1, 2).tolist():
+            if end - start >= width:
+                heapq.heappush(heap, (start - end, x + start, y + start))
     return out
 
 
@@ -131,30 +161,51 @@ def passage(marked: list[tuple[int, int, int]]) -> int:
     return max(best, default=0)
 
 
+def _held(seeds: Seeds, at: np.ndarray, seed: np.ndarray, item: int, length: int, share: float) -> float:
+    """Share of the item's letters that its best passage in a document holds; ``at`` and ``seed`` are the document's hits by seed.
+
+    Where the document has no seed for longer than a gap between tiles, no passage goes on, so the stretches between such places
+    are tiled one by one, if they can hold enough at all. A passage is no longer than its tiles and the gaps between them, so of a
+    longer stretch twice that length is tiled at a time, overlapping by half.
+    """
+    mine = seeds.of_item[seeds.bounds[item] : seeds.bounds[item + 1]]
+    own = np.searchsorted(seeds.begin, mine, side="right") - 1
+    once = own[np.r_[True, own[1:] != own[:-1]]]
+    lo, hi = np.searchsorted(seed, once), np.searchsorted(seed, once, side="right")
+    places = np.sort(at[_spread(lo, hi - lo)])
+    heads = np.flatnonzero(np.r_[True, np.diff(places) > seeds.width + GAP])
+    enough = _most(_covered(places, heads, seeds.width), seeds.width) >= share * length
+    reach, best = length + GAP * (length // seeds.width + 1), 0
+    for a, b in zip(places[heads[enough]], places[np.r_[heads[1:], len(places)][enough] - 1], strict=True):
+        for start in range(int(a), max(int(a), int(b) - reach) + 1, reach):
+            near = (at >= start) & (at <= b) & (at < start + 2 * reach)
+            x, s = at[near], seed[near]
+            lo, hi = np.searchsorted(s, own), np.searchsorted(s, own, side="right")
+            best = max(best, passage(tiles(x[_spread(lo, hi - lo)], np.repeat(seeds.place[mine], hi - lo), seeds.width)) if (hi > lo).any() else 0)
+    return best / length
+
+
 def leaked(texts: list[str], tables: list[Seeds], length: np.ndarray, share: float) -> list[tuple[int, int, float]]:
     """Of these texts, (text, item, coverage) of each item held in one."""
     letters, offsets = folded(texts)
     out = []
     for seeds in tables:
-        doc, item, at, place = _hits(seeds, letters, offsets)
+        h = window_hashes(letters, seeds.width)
+        at = np.flatnonzero(seeds.sieve[h >> np.uint64(64 - FILTER_BITS)])
+        seed = np.minimum(np.searchsorted(seeds.hashes, h[at]), len(seeds.hashes) - 1)
+        doc = np.searchsorted(offsets, at, side="right") - 1
+        real = (seeds.hashes[seed] == h[at]) & (at + seeds.width <= offsets[doc + 1])
+        at, seed, doc = at[real], seed[real], doc[real]
         if not len(doc):
             continue
-        pair = doc * len(length) + item
-        span = int(max(at.max(), place.max()) // BAND + 2)
-        band = (at - place) // BAND + span
-        key, n = np.unique(pair * (2 * span + 1) + band, return_counts=True)
-        near = n + np.where(np.r_[key[1:], -1] == key + 1, np.r_[n[1:], 0], 0)
-        pairs = key // (2 * span + 1)
-        hot = np.unique(pairs[near >= HINT * seeds.windows[pairs % len(length)]])
-        chosen = np.flatnonzero(np.isin(pair, hot))
-        chosen = chosen[np.argsort(pair[chosen], kind="stable")]
-        edges = np.searchsorted(pair[chosen], np.r_[hot, hot[-1:] + 1])
-        for k, p in enumerate(hot.tolist()):
-            rows = chosen[edges[k] : edges[k + 1]]
-            i = p % len(length)
-            held = passage(tiles(at[rows], place[rows], seeds.width)) / length[i]
+        by = np.argsort(doc * len(seeds.hashes) + seed, kind="stable")
+        at, seed, doc = at[by] - offsets[doc[by]], seed[by], doc[by]
+        new = np.r_[True, (doc[1:] != doc[:-1]) | (seed[1:] != seed[:-1])]
+        edges = np.searchsorted(doc, np.arange(len(texts) + 1))
+        for d, i in _candidates(seeds, doc[new], seed[new], length, share):
+            held = _held(seeds, at[edges[d] : edges[d + 1]], seed[edges[d] : edges[d + 1]], i, int(length[i]), share)
             if held >= share:
-                out.append((p // len(length), i, min(1.0, float(held))))
+                out.append((d, i, min(1.0, float(held))))
     return out
 
 
