@@ -27,12 +27,15 @@ def write_shard(df: DataFrame, folder: str, split: str, shard: int, key: str = "
 
     A shard's number is its identity: writing it again replaces what an earlier try left, so a batch that is
     tried again changes nothing. A shard counts from when its success file is there. Unknown columns are dropped.
+    Of earlier shards only the keys between this one's smallest and largest are read, which the files' statistics find: with
+    keys that grow from shard to shard the cost of a shard doesn't grow with their number.
     """
     spark = df.sparkSession
     rows = df.select(*[c for c in columns if c in df.columns]).where(F.col(key).isNotNull()).dropDuplicates([key])
     others = [n for n in shard_numbers(spark, folder, split) if n != shard]
     if others:
-        done = spark.read.parquet(*[f"{folder}/{split}/shard={n:05d}" for n in others]).select(key)
+        ends = rows.agg(F.min(key), F.max(key)).first()
+        done = spark.read.parquet(*[f"{folder}/{split}/shard={n:05d}" for n in others]).select(key).where(F.col(key).between(*ends))
         rows = rows.join(done, key, "left_anti")
     rows.write.mode("overwrite").option("compression", "zstd").parquet(f"{folder}/{split}/shard={shard:05d}")
 
