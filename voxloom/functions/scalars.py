@@ -35,9 +35,9 @@ def speaker_of_segment(segment: Column) -> Column:
 
 
 def hashed_speaker(value: Column, prefix: str) -> Column:
-    """A stable five-digit speaker name from any string."""
+    """A stable five-digit speaker name from any string; null for null."""
     digest = F.substring(F.md5(F.concat(F.lit(f"{prefix}_"), value)), 1, 8)
-    return F.format_string("SPK_%05d", F.conv(digest, 16, 10).cast("bigint") % 100000)
+    return F.when(value.isNotNull(), F.format_string("SPK_%05d", F.conv(digest, 16, 10).cast("bigint") % 100000))
 
 
 def id_number(identifier: Column) -> Column:

@@ -8,6 +8,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+PARTS = 1024  # of a group that is ranked
+
+
 def unpivoted(df: DataFrame, keys: Sequence[str], metrics: Sequence[str]) -> DataFrame:
     """Long form (``keys``, ``metric``, ``value``); missing and NaN values give no row."""
     rows = df.select(*keys, F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in metrics])).alias("m"))
@@ -78,12 +81,13 @@ def top(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
 
 
 def top_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column], spread: Column, n: int, output: str = "place") -> DataFrame:
-    """The first ``n`` rows of each group with their place; groups are ranked in 64 parts before the parts are ranked.
+    """The first ``n`` rows of each group with their place; groups are ranked in ``PARTS`` parts before the parts are ranked.
 
-    ``spread`` is a hash of the row. ``order`` should end with a unique column.
+    ``spread`` is a hash of the row. ``order`` should end with a unique column. The ranks within parts are limited to ``n`` by
+    each task before anything is moved, so the parts bound what one task sorts, not what is shuffled.
     """
     rank = lambda *by: F.row_number().over(Window.partitionBy(*by).orderBy(*order))
-    rows = df.withColumn("__part", F.pmod(spread, F.lit(64)))
+    rows = df.withColumn("__part", F.pmod(spread, F.lit(PARTS)))
     rows = rows.withColumn("__r", rank(*keys, "__part")).where(F.col("__r") <= n)
     return rows.withColumn(output, rank(*keys)).where(F.col(output) <= n).drop("__part", "__r")
 

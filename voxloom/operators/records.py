@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from voxloom.operators.aggregates import top_per_group
 from voxloom.operators.series import numbered
 
 # The rules of the target schema.
@@ -62,9 +63,11 @@ def sequential(df: DataFrame, order: Sequence[str], bucket: Column, start: int,
 def quota(df: DataFrame, split: str, order: Sequence[str], n: int, splits: Sequence[str]) -> DataFrame:
     """The first rows of each split: an equal part of ``n``, the rest of the division to the first split."""
     each, rest = divmod(n, len(splits))
-    allowed = F.coalesce(*[F.when(F.col(split) == s, F.lit(max(1, each) + (rest if i == 0 else 0))) for i, s in enumerate(splits)])
-    rn = F.row_number().over(Window.partitionBy(split).orderBy(*order))
-    return df.where(F.col(split).isin(*splits)).withColumn("__rn", rn).where(F.col("__rn") <= allowed).drop("__rn")
+    most = {s: max(1, each) + (rest if i == 0 else 0) for i, s in enumerate(splits)}
+    allowed = F.coalesce(*[F.when(F.col(split) == s, F.lit(m)) for s, m in most.items()])
+    # Parts of a split are cut to the largest quota first, so no task ranks a whole split.
+    rows = top_per_group(df.where(F.col(split).isin(*splits)), [split], [F.col(c) for c in order], F.xxhash64(*order), max(most.values()), "__rn")
+    return rows.where(F.col("__rn") <= allowed).drop("__rn")
 
 
 def interleaved(df: DataFrame, source: str, order: Sequence[str], bucket: Column, weights: Mapping[str, float] | None = None) -> DataFrame:

@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voxloom.operators.runbitmaps import periods_and_gaps
 
+SHARD = 1 << 15  # frames that are painted together
+
 
 def islands(df: DataFrame, keys: Sequence[str], order: Sequence[str], begins: Column, output: str = "island") -> DataFrame:
     """Number the islands of each key: a new one begins wherever ``begins`` is true."""
@@ -43,12 +47,6 @@ def speaker_turns(df: DataFrame, key: str, start: str, end: str, speaker: str, c
     return rows.groupBy(key, "island").agg(F.min(speaker).alias(speaker), F.min(start).alias(start), F.max(end).alias(end), F.min(confidence).alias(confidence), F.count("*").alias("n"))
 
 
-def grid(df: DataFrame, start: str, end: str, step: float, output: str = "frame") -> DataFrame:
-    """One row for each frame of ``step`` that an interval covers, from the frame of its start on."""
-    first, last = F.floor(F.round(F.col(start) / step, 6)).cast("bigint"), F.ceil(F.round(F.col(end) / step, 6)).cast("bigint") - 1
-    return df.withColumn(output, F.explode(F.when(last >= first, F.sequence(first, last)).otherwise(F.array().cast("array<bigint>"))))
-
-
 def overlap_ratio(df: DataFrame, key: str, start: str, end: str, who: str) -> DataFrame:
     """For each key the time with speech, with several speakers, and the ratio, by an event sweep.
 
@@ -75,18 +73,55 @@ def dominance(df: DataFrame, key: str, who: str, start: str, end: str) -> DataFr
 def diarisation_error(hypothesis: DataFrame, reference: DataFrame, key: str, start: str, end: str, who: str, step: float = 0.01) -> DataFrame:
     """Missed, false and confused frames, and their ratio to the reference's speech.
 
-    A frame's speaker is the one of the segment that starts last in it. Keys found on one side only count whole;
-    without reference speech the rate is 0 without a hypothesis and 1 with one.
+    A frame's speaker is the one of the segment that starts last in it, the largest of several. Keys found on one side only count whole;
+    without reference speech the rate is 0 without a hypothesis and 1 with one. Rows with a null key, bound or speaker don't count.
+
+    Time is cut into shards of ``SHARD`` frames, each painted by itself, so neither a long recording nor a fine step makes rows.
     """
-    per = lambda df, name: grid(df, start, end, step).groupBy(key, "frame").agg(F.max(F.struct(start, who))[who].alias(name))
-    both = per(hypothesis, "h").join(per(reference, "r"), [key, "frame"], "full")
-    count = lambda c: F.sum(F.when(c, 1).otherwise(0))
-    h, r = F.col("h"), F.col("r")
-    out = both.groupBy(key).agg(count(r.isNotNull() & h.isNull()).alias("missed"), count(h.isNotNull() & r.isNull()).alias("false_alarm"), count(h != r).alias("confused"), count(r.isNotNull()).alias("speech"))
+
+    def side(df: DataFrame, number: int) -> DataFrame:
+        first, last = F.floor(F.round(F.col(start) / step, 6)).cast("bigint"), F.ceil(F.round(F.col(end) / step, 6)).cast("bigint") - 1
+        rows = df.select(F.col(key).alias("k"), F.lit(number).alias("side"), F.col(start).cast("double").alias("at"), F.col(who).cast("bigint").alias("w"), first.alias("a"), last.alias("b"))
+        rows = rows.dropna().where("b >= a")
+        return rows.withColumn("shard", F.explode(F.sequence(F.floor(F.col("a") / SHARD), F.floor(F.col("b") / SHARD))))
+
+    def paint(t: pa.Table) -> pa.Table:
+        base = t.column("shard")[0].as_py() * SHARD
+        side, at, w = (t.column(c).to_numpy() for c in ("side", "at", "w"))
+        a, b = np.maximum(t.column("a").to_numpy() - base, 0), np.minimum(t.column("b").to_numpy() - base, SHARD - 1)
+        speech, speaker = np.zeros((2, SHARD), bool), np.zeros((2, SHARD), np.int64)
+        for i in np.lexsort((w, at)):  # what starts last is painted last
+            speech[side[i], a[i] : b[i] + 1] = True
+            speaker[side[i], a[i] : b[i] + 1] = w[i]
+        h, r = speech
+        found = [r & ~h, h & ~r, h & r & (speaker[0] != speaker[1]), r]
+        return pa.table({"k": t.column("k").slice(0, 1), **{n: pa.array([int(x.sum())]) for n, x in zip(("missed", "false_alarm", "confused", "speech"), found, strict=True)}})
+
+    both = side(hypothesis, 0).unionByName(side(reference, 1))
+    parts = both.groupBy("k", "shard").applyInArrow(paint, f"k {both.schema['k'].dataType.simpleString()}, missed bigint, false_alarm bigint, confused bigint, speech bigint")
+    out = parts.groupBy(F.col("k").alias(key)).agg(*[F.sum(c).alias(c) for c in ("missed", "false_alarm", "confused", "speech")])
     wrong = F.col("missed") + F.col("false_alarm") + F.col("confused")
     return out.withColumn("der", F.when(F.col("speech") > 0, F.round(wrong / F.col("speech"), 6)).otherwise(F.when(F.col("false_alarm") > 0, 1.0).otherwise(0.0)))
 
 
+def resegmented(df: DataFrame, key: str, start: str, end: str, speaker: str, confidence: str, least: float, gap: float) -> DataFrame:
+    """Turns again after segments shorter than ``least`` are dropped: see :func:`speaker_turns`; with ``duration``."""
+    rows = df.where(F.round(F.col(end) - F.col(start), 6) >= least)
+    return speaker_turns(rows, key, start, end, speaker, confidence, gap).withColumn("duration", F.round(F.col(end) - F.col(start), 6))
+
+
+def fixed_segments(df: DataFrame, key: str, length: str, width: float) -> DataFrame:
+    """Tiles of ``width`` seconds of each row's ``length``: ``key``, ``segment`` from 0, ``start`` and ``end``; a shorter rest is a tile too.
+
+    Null, NaN, infinite or non-positive lengths give no tile.
+    """
+    seconds = F.col(length).cast("double")
+    rows = df.select(F.col(key), seconds.alias("__l")).where(~F.isnan("__l") & (F.col("__l") > 0) & (F.col("__l") < float("inf")))
+    count = F.ceil(F.round(F.col("__l") / width, 6)).cast("bigint")
+    rows = rows.withColumn("segment", F.explode(F.sequence(F.lit(0).cast("bigint"), count - 1)))
+    return rows.select(key, "segment", F.round(F.col("segment") * width, 6).alias("start"), F.round(F.least((F.col("segment") + 1) * width, F.col("__l")), 6).alias("end"))
+
+
 def flag_runs(df: DataFrame, keys: Sequence[str], order: str, flag: Column, least: int = 1) -> DataFrame:
     """Runs of consecutive numbered rows with a true flag: first and last number, and length."""
     rows = df.where(flag)

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+GROUPS_HELD = 4096  # groups whose sums a task holds at once
 MOST_VALUES = 20_000_000  # of all centroids together, which are sent to every task
 
 
@@ -24,9 +25,47 @@ def cosine(a: Column, b: Column) -> Column:
 
 
 def centroids(df: DataFrame, group: str, vector: str) -> DataFrame:
-    """The mean vector of every group, summed place by place with partial aggregation."""
-    rows = df.where(F.col(vector).isNotNull() & F.col(group).isNotNull()).select(F.col(group).alias("g"), F.posexplode(vector).alias("i", "x"))
-    means = rows.groupBy("g", "i").agg(F.avg(F.col("x").cast("double")).alias("m"))
+    """The mean vector of every group; null and NaN places of a vector don't count there, nor do null groups and vectors.
+
+    Every task sums its vectors as arrays, a row for each of its groups, and only these sums are taken apart and shuffled.
+    """
+    kind = df.schema[group].dataType.simpleString()
+    rows = df.where(F.col(vector).isNotNull() & F.col(group).isNotNull()).select(F.col(group).alias("g"), F.col(vector).cast("array<double>").alias("v"))
+
+    def emit(sums: dict, like: pa.DataType) -> pa.RecordBatch:
+        lists = lambda i: pa.array([x[i] for x in sums.values()], pa.list_(pa.float64()))
+        return pa.RecordBatch.from_arrays([pa.array(list(sums), like), lists(0), lists(1)], ["g", "s", "n"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict = {}
+        for batch in batches:
+            sizes = batch.column(1).value_lengths().to_numpy(zero_copy_only=False)
+            groups = batch.column(0).dictionary_encode()
+            names, code = groups.dictionary.to_pylist(), groups.indices.to_numpy(zero_copy_only=False)
+            for size in np.unique(sizes[sizes > 0]).tolist():
+                here = np.flatnonzero(sizes == size)
+                x = batch.column(1).take(pa.array(here)).flatten().fill_null(np.nan).to_numpy(zero_copy_only=False).reshape(-1, size)
+                order = np.argsort(code[here], kind="stable")
+                own = code[here][order]
+                heads = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+                known = ~np.isnan(x[order])
+                s, n = np.add.reduceat(np.where(known, x[order], 0.0), heads), np.add.reduceat(known.astype(float), heads)
+                for c, a, b in zip(own[heads], s, n, strict=True):
+                    old = sums.get(names[c])
+                    if old is None:
+                        sums[names[c]] = (a, b)
+                    else:
+                        wide = max(len(old[0]), size)
+                        sums[names[c]] = tuple(np.pad(p, (0, wide - len(p))) + np.pad(q, (0, wide - len(q))) for p, q in zip(old, (a, b), strict=True))
+            if len(sums) >= GROUPS_HELD:
+                yield emit(sums, batch.schema.field(0).type)
+                sums = {}
+            kept = batch.schema.field(0).type
+        if sums:
+            yield emit(sums, kept)
+
+    parts = rows.mapInArrow(run, f"g {kind}, s array<double>, n array<double>").select("g", F.posexplode(F.arrays_zip("s", "n")).alias("i", "x"))
+    means = parts.groupBy("g", "i").agg((F.sum("x.s") / F.nullif(F.sum("x.n"), F.lit(0.0))).alias("m"))
     return means.groupBy("g").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "m"))), lambda s: s["m"]).alias("centroid")).withColumnRenamed("g", group)
 
 
@@ -71,8 +110,9 @@ def nearest(df: DataFrame, key: str, vector: str, queries: Column, k: int, block
     query; these are ranked together. A row is no neighbour of itself; ties go to the smallest key.
     """
     good = df.where(F.col(vector).isNotNull()).select(F.col(key).alias("id"), F.col(vector).cast("array<double>").alias("v"))
-    rows = rows or df.count()
-    n_rows, n_queries = -(-rows // block) or 1, -(-max(1, rows // 10) // block) or 1
+    sizes = df.agg(F.count("*").alias("n"), F.count_if(queries).alias("q")).first()
+    rows, asking = rows or sizes.n, sizes.q
+    n_rows, n_queries = -(-rows // block) or 1, -(-asking // block) or 1
     cb, qb = F.pmod(F.xxhash64("id"), F.lit(n_rows)), F.pmod(F.xxhash64("id", F.lit(1)), F.lit(n_queries))
     corpus = good.withColumn("cb", cb).withColumn("qb", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n_queries - 1).cast("bigint"))))
     asked = df.where(queries & F.col(vector).isNotNull()).select(F.col(key).alias("id"), F.col(vector).cast("array<double>").alias("v"))

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxloom.functions import scalars as S
 from voxloom.operators import records as R
 from voxloom.plans.registry import Registry
-from voxloom.sources import table
+from voxloom.sources import corpora, table
 
 RECORDS = Registry()
 #: The order in which sources are read.
@@ -20,6 +20,11 @@ def _samples(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "samples")
 
 
+def _hour() -> Column:
+    """A bucket of records in the order of time and id: the hour, or for records without a time the first digits of the id."""
+    return F.struct(F.date_trunc("hour", "recorded_at").alias("hour"), F.when(F.col("recorded_at").isNull(), F.substring("id", 1, 7)).alias("prefix"))
+
+
 def _once(spark: SparkSession, folder: str) -> DataFrame:
     """Each sample once, as first ingested."""
     return R.first_of_each(_samples(spark, folder), ["id"], ["ingested_at"])
@@ -71,6 +76,63 @@ def segment_ids(spark: SparkSession, folder: str) -> DataFrame:
     return _samples(spark, folder).select("id", "ingested_at", S.segment_id(none, none, F.col("audio.path"), none).alias("segment_id"))
 
 
+_HASH = "'SPK_' || lpad(CAST(CAST('0x' || substr(md5({}), 1, 8) AS BIGINT) % 100000 AS VARCHAR), 5, '0')"
+_NUMBER = "CAST(substr(id, 2) AS BIGINT)"
+_COLUMNS = ["id", "speaker_id", "language", "transcript", "length", "dataset_name", "confidence_score"]
+
+
+def _raw(spark: SparkSession, folder: str) -> DataFrame:
+    """Samples, once each, in the columns in which corpora deliver them."""
+    number = F.substring("id", 2, 20).cast("bigint")
+    rows = _once(spark, folder).select(number.alias("number"), "audio", "transcript", "length", "split", F.col("audio.path").alias("path"), F.col("speaker_id").alias("client_id"), F.col("transcript").alias("sentence"))
+    number = F.col("number")
+    segment = F.concat_ws("-", F.lit("0"), (number % 700).cast("string"), number.cast("string"))
+    return rows.withColumn("key", F.when(number % 3 > 0, F.concat(F.lit("0/"), (number % 700).cast("string"), F.lit("/"), segment)))
+
+
+@RECORDS.query("from_segments", f"""
+WITH r AS (SELECT *, {_NUMBER} AS number, CASE WHEN {_NUMBER} % 3 > 0 THEN '0-' || ({_NUMBER} % 700) || '-' || {_NUMBER} END AS segment FROM ({ONCE})),
+t AS (SELECT *, CASE WHEN split IN ('train', 'test') AND number % 3 = 1 AND number % 2 = 0 THEN 'side ' || number ELSE coalesce(transcript, '') END AS text FROM r)
+SELECT 'S' || number AS id, CASE WHEN segment IS NOT NULL THEN 'SPK_' || lpad(CAST(number % 700 AS VARCHAR), 5, '0') ELSE {_HASH.format("'GigaSpeech2_' || number")} END AS speaker_id, 'th' AS language,
+  text AS transcript, CAST(length AS DOUBLE) AS length, 'GigaSpeech2' AS dataset_name, CASE WHEN text <> '' THEN 1.0 ELSE 0.0 END AS confidence_score FROM t""")
+def from_segments(spark: SparkSession, folder: str) -> DataFrame:
+    """Samples as a corpus of segments, every other of a third with its transcript in a side table."""
+    raw = _raw(spark, folder)
+    side = raw.where("split in ('train', 'test') and number % 3 = 1 and number % 2 = 0")
+    side = side.select("split", F.element_at(F.split("key", "/"), -1).alias("segment_id"), F.concat(F.lit("side "), F.col("number").cast("string")).alias("transcript"))
+    return corpora.from_segments(raw, side).select(*_COLUMNS)
+
+
+@RECORDS.query("from_sentences", f"""
+SELECT 'S' || {_NUMBER} AS id, CASE WHEN coalesce(speaker_id, '') <> '' THEN {_HASH.format("'mozilla_cv_' || speaker_id")} ELSE {_HASH.format("'MozillaCommonVoice_' || " + _NUMBER)} END AS speaker_id, 'th' AS language,
+  coalesce(transcript, '') AS transcript, CAST(length AS DOUBLE) AS length, 'MozillaCommonVoice' AS dataset_name, 1.0 AS confidence_score FROM ({ONCE})""")
+def from_sentences(spark: SparkSession, folder: str) -> DataFrame:
+    """Samples as a corpus of read sentences with client ids."""
+    return corpora.from_sentences(_raw(spark, folder), "MozillaCommonVoice", "mozilla_cv").select(*_COLUMNS)
+
+
+@RECORDS.query("from_plain_sentences", f"""
+SELECT 'S' || {_NUMBER} AS id, {_HASH.format("'ProcessedVoiceTH_' || " + _NUMBER)} AS speaker_id, 'th' AS language, coalesce(transcript, '') AS transcript, CAST(length AS DOUBLE) AS length,
+  'ProcessedVoiceTH' AS dataset_name, 1.0 AS confidence_score FROM ({ONCE})""")
+def from_plain_sentences(spark: SparkSession, folder: str) -> DataFrame:
+    """Samples as a corpus of read sentences that doesn't name its speakers."""
+    return corpora.from_sentences(_raw(spark, folder), "ProcessedVoiceTH").select(*_COLUMNS)
+
+
+@RECORDS.query("stream_samples", f"""
+SELECT 'temp_' || {_NUMBER} AS id, {_HASH.format("'GigaSpeech2_' || " + _NUMBER)} AS speaker_id, 'th' AS language, coalesce(transcript, '') AS transcript, coalesce(CAST(length AS DOUBLE), 1.0) AS length,
+  'GigaSpeech2' AS dataset_name, 1.0 AS confidence_score FROM ({ONCE})""")
+def stream_samples(spark: SparkSession, folder: str) -> DataFrame:
+    """Samples as a stream delivers them, before they get their ids."""
+    return corpora.stream_samples(_raw(spark, folder), "GigaSpeech2").select(*_COLUMNS)
+
+
+@RECORDS.query("own_speakers", f"SELECT id, 'SPK_' || CASE WHEN length(CAST({_NUMBER} AS VARCHAR)) < 5 THEN lpad(CAST({_NUMBER} AS VARCHAR), 5, '0') ELSE CAST({_NUMBER} AS VARCHAR) END AS speaker_id FROM ({ONCE})")
+def own_speakers(spark: SparkSession, folder: str) -> DataFrame:
+    """Every sample as its own speaker."""
+    return corpora.own_speakers(_once(spark, folder).select("id"))
+
+
 @RECORDS.query("hashed_speakers", """
 SELECT DISTINCT speaker_id, 'SPK_' || lpad(CAST(CAST('0x' || substr(md5('cv_' || speaker_id), 1, 8) AS BIGINT) % 100000 AS VARCHAR), 5, '0') AS hashed
 FROM samples WHERE speaker_id IS NOT NULL""")
@@ -94,7 +156,8 @@ def sequential_ids(spark: SparkSession, folder: str) -> DataFrame:
     """New ids without a gap, source after source, from S101 on."""
     plain = S.plain_name(F.col("dataset_name"))
     rows = _once(spark, folder).select("id", "recorded_at", F.coalesce(*[F.when(plain == s, F.lit(i)) for i, s in enumerate(SOURCES)], F.lit(len(SOURCES))).alias("source_ord"))
-    bucket = F.struct("source_ord", F.to_date("recorded_at").alias("day"))
+    # Records without a time go by id, a few thousand to a bucket; the others by the hour.
+    bucket = F.struct("source_ord", F.date_trunc("hour", "recorded_at").alias("hour"), F.when(F.col("recorded_at").isNull(), F.substring("id", 1, 7)).alias("prefix"))
     return R.sequential(rows, ["source_ord", "recorded_at", "id"], bucket, 101, "new_id").select("id", "new_id")
 
 
@@ -158,7 +221,7 @@ SELECT id, round(row_number() OVER (PARTITION BY dataset ORDER BY day NULLS FIRS
 def interleaved(spark: SparkSession, folder: str) -> DataFrame:
     """Sources taking turns, one of them with double pace."""
     rows = _once(spark, folder).select("id", "recorded_at", S.plain_name(F.col("dataset_name")).alias("dataset")).where(F.col("dataset").isin(*SOURCES))
-    return R.interleaved(rows, "dataset", ["recorded_at", "id"], F.to_date("recorded_at"), {s: 2.0 if s == SOURCES[0] else 1.0 for s in SOURCES}).select("id", "turn")
+    return R.interleaved(rows, "dataset", ["recorded_at", "id"], _hour(), {s: 2.0 if s == SOURCES[0] else 1.0 for s in SOURCES}).select("id", "turn")
 
 
 @RECORDS.query("interleaved_all", f"""
@@ -167,7 +230,7 @@ SELECT id, dataset, round(row_number() OVER (PARTITION BY dataset ORDER BY day N
 def interleaved_all(spark: SparkSession, folder: str) -> DataFrame:
     """Every source that is present taking turns, records without one as a source of their own."""
     rows = _once(spark, folder).select("id", "recorded_at", S.plain_name(F.col("dataset_name")).alias("dataset"))
-    return R.interleaved(rows, "dataset", ["recorded_at", "id"], F.to_date("recorded_at"), {SOURCES[0]: 2.0}).select("id", "dataset", "turn")
+    return R.interleaved(rows, "dataset", ["recorded_at", "id"], _hour(), {SOURCES[0]: 2.0}).select("id", "dataset", "turn")
 
 
 @RECORDS.query("selectivity", f"""

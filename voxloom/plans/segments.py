@@ -39,6 +39,26 @@ def speaker_turns(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("recording_id", "speaker_id", F.round("start_time", 3).alias("start_time"), F.round("end_time", 3).alias("end_time"), "n")
 
 
+@SEGMENTS.query("resegmented", f"""
+SELECT recording_id, min(speaker_id) AS speaker_id, round(min(start_time), 3) AS start_time, round(max(end_time), 3) AS end_time, count(*) AS n FROM (
+  SELECT *, sum(CASE WHEN before = speaker_id AND round(start_time - until, 6) <= 0.3 THEN 0 ELSE 1 END) OVER (PARTITION BY recording_id ORDER BY start_time, end_time, speaker_id ROWS UNBOUNDED PRECEDING) AS island FROM (
+    SELECT *, lag(speaker_id) OVER w AS before, lag(end_time) OVER w AS until FROM (SELECT DISTINCT recording_id, speaker_id, start_time, end_time FROM {_CLEAN} WHERE round(end_time - start_time, 6) >= 0.5) WINDOW w AS (PARTITION BY recording_id ORDER BY start_time, end_time, speaker_id))) GROUP BY recording_id, island""")
+def resegmented(spark: SparkSession, folder: str) -> DataFrame:
+    """Turns of the segments of half a second or more."""
+    rows = _clean(spark, folder).groupBy("recording_id", "speaker_id", "start_time", "end_time").agg(F.min("confidence").alias("confidence"))
+    rows = G.resegmented(rows, "recording_id", "start_time", "end_time", "speaker_id", "confidence", 0.5, 0.3)
+    return rows.select("recording_id", "speaker_id", F.round("start_time", 3).alias("start_time"), F.round("end_time", 3).alias("end_time"), "n")
+
+
+@SEGMENTS.query("fixed_segments", f"""
+SELECT recording_id, segment, round(segment * 5.0, 6) AS start, round(least((segment + 1) * 5.0, d), 6) AS "end" FROM (
+  SELECT recording_id, d, unnest(generate_series(0, CAST(ceil(round(d / 5.0, 6)) AS BIGINT) - 1)) AS segment FROM (SELECT recording_id, round(max(end_time), 3) AS d FROM {_CLEAN} GROUP BY 1) WHERE d > 0)""")
+def fixed_segments(spark: SparkSession, folder: str) -> DataFrame:
+    """Tiles of five seconds of each recording."""
+    spans = _clean(spark, folder).groupBy("recording_id").agg(F.round(F.max("end_time"), 3).alias("d"))
+    return G.fixed_segments(spans, "recording_id", "d", 5.0)
+
+
 @SEGMENTS.query("overlap_ratio", f"""
 WITH s AS (SELECT DISTINCT recording_id, speaker_id, CAST(round(start_time * 1000) AS BIGINT) AS s, CAST(round(end_time * 1000) AS BIGINT) AS e FROM {_CLEAN}),
 i AS (SELECT *, sum(CASE WHEN reach IS NULL OR s > reach THEN 1 ELSE 0 END) OVER (PARTITION BY recording_id, speaker_id ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS island FROM (
