@@ -3,9 +3,9 @@
 Time is cut into shards of ``2**SHARD_BITS`` exact units. Each interval sets bits in the
 bitmap of its entity and shard; a bitmap is held as sorted runs of set bits, so its size
 follows the number of changes and not the length of time. Uniting the pieces of a shard is one
-vectorised pass over Arrow buffers; the shards of an entity are then joined by a two-level
-prefix maximum. No stage holds more of one entity than the bits of one shard, or one row for
-each of ``2**BLOCK_BITS`` shards.
+vectorised pass over Arrow buffers, and so is uniting the shards of a block of ``2**BLOCK_BITS`` of them. What an
+earlier block reaches into a later one follows from one row for each block. No stage holds more of one entity
+than the runs of one block, or one row for each block.
 """
 
 from __future__ import annotations
@@ -14,7 +14,8 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from voxloom.session import cut_lineage
@@ -57,17 +58,96 @@ def _bitmaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _before(df: DataFrame, keys: Sequence[str], value: Column, name: str) -> DataFrame:
-    """Add the largest ``value`` of all earlier shards of the same entity.
+def _blocks(n_keys: int, kinds: str):
+    """Unite the runs of the shards of each block; rows come sorted by key and block, with a cover as one more run."""
+    names = [*(f"k{i}" for i in range(n_keys)), "block"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = pa.Table.from_batches([batch])
+            held = rows if held is None else pa.concat_tables([held, rows])
+            ends = _heads(held, names)
+            if len(ends) > 1:  # the last block may go on in the next batch
+                yield unite(held.slice(0, ends[-1]), ends[:-1])
+                held = held.slice(ends[-1])
+        if held is not None:
+            yield unite(held, _heads(held, names))
+
+    def unite(t: pa.Table, heads: np.ndarray) -> pa.RecordBatch:
+        t = t.combine_chunks()
+        group = np.repeat(np.arange(len(heads)), np.diff(np.r_[heads, t.num_rows]))
+        lists = t.column("starts").combine_chunks()
+        counts = lists.value_lengths().to_numpy(zero_copy_only=False)
+        flat = lambda c: t.column(c).combine_chunks().flatten().to_numpy(zero_copy_only=False)
+        at = np.repeat(t.column("shard").to_numpy() << SHARD_BITS, counts)
+        cover = t.column("cover").combine_chunks()
+        covered = np.flatnonzero(cover.is_valid().to_numpy(zero_copy_only=False))
+        row = np.r_[np.repeat(group, counts), group[covered]]
+        s = np.r_[flat("starts") + at, t.column("shard").to_numpy()[covered] << SHARD_BITS]
+        e = np.r_[flat("ends") + at, cover.take(pa.array(covered)).to_numpy(zero_copy_only=False)]
+        order = np.lexsort((s, row))
+        row, s, e = row[order], s[order], e[order]
+        # The largest end so far within the group: groups are lifted above each other before one running maximum.
+        ranks = np.argsort(np.argsort(e, kind="stable"), kind="stable") + row * len(e)
+        top = np.sort(e, kind="stable")[np.maximum.accumulate(ranks) - row * len(e)] if len(e) else e
+        new = np.r_[True, (row[1:] != row[:-1]) | (s[1:] > top[:-1])] if len(e) else np.zeros(0, bool)
+        first = np.flatnonzero(new)
+        last = np.r_[first[1:], len(e)] - 1
+        offsets = pa.array(np.r_[0, np.cumsum(np.bincount(row[first], minlength=len(heads)))].astype(np.int32))
+        keys = t.select(names).take(pa.array(heads)).combine_chunks()
+        return pa.RecordBatch.from_arrays(
+            [*(keys.column(n).combine_chunks() for n in names), pa.ListArray.from_arrays(offsets, pa.array(s[first])), pa.ListArray.from_arrays(offsets, pa.array(top[last]))], [*names, "starts", "ends"]
+        )
 
-    Two levels: within blocks of shards, and over one row for each block.
-    """
-    rows = Window.unboundedPreceding, -1
-    inner = Window.partitionBy(*keys, "block").orderBy("shard").rowsBetween(*rows)
-    outer = Window.partitionBy(*keys).orderBy("block").rowsBetween(*rows)
-    blocks = df.groupBy(*keys, "block").agg(F.max(value).alias("_own"))
-    blocks = blocks.select(*keys, "block", F.max("_own").over(outer).alias("_earlier"))
-    return df.withColumn("_inner", F.max(value).over(inner)).join(blocks, [*keys, "block"]).withColumn(name, F.greatest("_inner", "_earlier")).drop("_inner", "_earlier")
+    return run, f"{kinds}, block bigint, starts array<bigint>, ends array<bigint>"
+
+
+def _heads(t: pa.Table, names: Sequence[str]) -> np.ndarray:
+    """Rows at which a new group of sorted rows begins."""
+    new = np.zeros(t.num_rows, bool)
+    new[:1] = True
+    for name in names:
+        column = t.column(name).combine_chunks()
+        new[1:] |= pc.not_equal(column.slice(1), column.slice(0, len(column) - 1)).to_numpy(zero_copy_only=False).astype(bool)
+    return np.flatnonzero(new)
+
+
+def _emit(n_keys: int):
+    """Periods that end in a block, and gaps before the periods that begin in it, given what earlier blocks reach."""
+    names = [f"k{i}" for i in range(n_keys)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("starts")
+            counts = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+            s, e = (batch.column(c).flatten().to_numpy(zero_copy_only=False) for c in ("starts", "ends"))
+            row = np.repeat(np.arange(batch.num_rows), counts)
+            none = np.iinfo(np.int64).min
+            held, since = (batch.column(c).fill_null(none).to_numpy(zero_copy_only=False) for c in ("held", "since"))
+            last = batch.column("last").to_numpy(zero_copy_only=False).astype(bool)
+            # What lies within or touches the reach of earlier blocks goes on with their period.
+            reach = held.copy()
+            inside = s <= held[row]
+            np.maximum.at(reach, row[inside], e[inside])
+            going = np.flatnonzero(held > none)
+            row = np.r_[going, row[~inside]]
+            s, e = np.r_[since[going], s[~inside]], np.r_[reach[going], e[~inside]]
+            order = np.lexsort((s, row))
+            row, s, e = row[order], s[order], e[order]
+            follows = np.r_[row[1:] == row[:-1], False] if len(row) else np.zeros(0, bool)
+            done = follows | last[row]
+            at = np.flatnonzero(follows)
+            rows = np.r_[row[done], row[at]]
+            kind = pa.array(["period"] * int(done.sum()) + ["gap"] * len(at))
+            chosen = pa.array(rows)
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(n).take(chosen) for n in names), kind, pa.array(np.r_[s[done], e[at]]), pa.array(np.r_[e[done], s[at + 1]])], [*names, "kind", "start_unit", "end_unit"]
+            )
+
+    return run
 
 
 def periods_and_gaps(df: DataFrame, keys: Sequence[str], start: str, end: str, units_per_one: float = 1000.0) -> DataFrame:
@@ -107,35 +187,18 @@ def periods_and_gaps(df: DataFrame, keys: Sequence[str], start: str, end: str, u
         F.collect_list(F.when(F.col("s").isNotNull(), F.struct("s", "e"))).alias("pieces"), F.max("cover").alias("cover")
     )
     kinds = ", ".join(f"{n} {f.dataType.simpleString()}" for n, f in zip(ks, (rows.schema[k] for k in ks), strict=True))
-    maps = cut_lineage(shards.mapInArrow(_bitmaps, f"{kinds}, shard bigint, cover bigint, starts array<bigint>, ends array<bigint>"), "runs")
-    at = F.col("shard") * width
-    maps = maps.select(
-        *ks, "shard", F.shiftright("shard", BLOCK_BITS).alias("block"), "cover",
-        F.transform("starts", lambda x: x + at).alias("starts"), F.transform("ends", lambda x: x + at).alias("ends"),
-    )
-    reach = F.greatest("cover", F.try_element_at("ends", F.lit(-1)))
-    maps = _before(maps, ks, reach, "held")
-
-    # Clear runs: between the set runs of a shard, and from what earlier shards reach.
-    base = F.greatest("held", "cover")
-    ahead = F.when(F.col("cover").isNotNull() & (F.col("held") < at), F.array(F.struct(F.col("held").alias("g"), at.alias("h"))))
-    inside = F.transform(
-        F.arrays_zip("starts", F.concat(F.array(F.lit(None).cast("bigint")), "ends").alias("prior"), "ends"),
-        lambda x: F.struct(F.greatest(base, x["prior"]).alias("g"), x["starts"].alias("h")),
-    )
-    inside = F.filter(inside, lambda x: x["g"] < x["h"])
-    maps = maps.withColumn("gaps", F.concat(F.coalesce(ahead, F.array().cast("array<struct<g:bigint,h:bigint>>")), inside))
-    maps = maps.withColumn("first", F.when(F.col("held").isNull(), F.when(F.col("cover").isNotNull(), at).otherwise(F.try_element_at("starts", F.lit(1)))))
-    maps = _before(maps, ks, F.greatest("first", F.try_element_at("gaps", F.lit(-1))["h"]), "since")
-    maps = cut_lineage(maps.withColumn("reach", reach).select(*ks, "gaps", "first", "since", "reach"), "gaps")
-
-    # A gap ends the period that began with the gap before it, or with the entity's first set unit.
-    starts = F.concat(F.array(F.coalesce("since", "first")), F.transform("gaps", lambda x: x["h"]))
-    closed = F.transform(F.arrays_zip(F.col("gaps"), starts.alias("from")), lambda x: F.when(x["gaps"].isNotNull(), F.struct(F.lit("period").alias("kind"), x["from"].alias("start_unit"), x["gaps"]["g"].alias("end_unit"))))
-    silent = F.transform("gaps", lambda x: F.struct(F.lit("gap").alias("kind"), x["g"].alias("start_unit"), x["h"].alias("end_unit")))
-    done = maps.select(*ks, F.explode(F.concat(F.array_compact(closed), silent)).alias("x")).select(*ks, "x.*")
-    last = maps.groupBy(*ks).agg(
-        F.max(F.greatest("first", F.try_element_at("gaps", F.lit(-1))["h"])).alias("start_unit"), F.max("reach").alias("end_unit")
-    )
-    out = done.unionByName(last.withColumn("kind", F.lit("period")))
+    maps = shards.mapInArrow(_bitmaps, f"{kinds}, shard bigint, cover bigint, starts array<bigint>, ends array<bigint>")
+    maps = maps.withColumn("block", F.shiftright("shard", BLOCK_BITS)).repartition(*ks, "block").sortWithinPartitions(*ks, "block")
+    unite, form = _blocks(len(ks), kinds)
+    blocks = cut_lineage(maps.select(*ks, "block", "shard", "cover", "starts", "ends").mapInArrow(unite, form), "runs")
+
+    # From one row a block: how far earlier blocks reach, and where the period began that reaches so far.
+    ends = blocks.select(*ks, "block", F.element_at("starts", 1).alias("first"), F.element_at("starts", -1).alias("latest"), F.element_at("ends", -1).alias("reach"))
+    w = Window.partitionBy(*ks).orderBy("block")
+    earlier = w.rowsBetween(Window.unboundedPreceding, -1)
+    ends = ends.withColumns({"held": F.max("reach").over(earlier), "last": F.lead("block").over(w).isNull()})
+    began = F.when(F.col("held").isNull() | (F.col("latest") > F.col("held")), F.col("latest"))
+    ends = ends.withColumn("since", F.last(began, ignorenulls=True).over(earlier)).select(*ks, "block", "held", "since", "last")
+    out = blocks.join(ends, [*ks, "block"]).select(*ks, "starts", "ends", "held", "since", "last")
+    out = out.mapInArrow(_emit(len(ks)), f"{kinds}, kind string, start_unit bigint, end_unit bigint")
     return out.select(*[F.col(n).alias(k) for k, n in zip(keys, ks, strict=True)], "kind", "start_unit", "end_unit")
