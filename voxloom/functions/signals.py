@@ -290,12 +290,17 @@ def mel_bank(rate: int, size: int, n: int = 40) -> np.ndarray:
     return np.maximum(0, np.minimum(up, down))
 
 
-def cepstrum(x: np.ndarray, rate: int, n: int = 13) -> np.ndarray:
-    """Mean mel-frequency cepstral coefficients."""
+def cepstra(x: np.ndarray, rate: int, n: int = 13) -> np.ndarray:
+    """Mel-frequency cepstral coefficients of every frame."""
     p = np.abs(np.fft.rfft(frames(x, 512, 256) * np.hamming(512), axis=1)) ** 2
     logs = np.log(p @ mel_bank(rate, 512).T + 1e-10)
     k = np.arange(n)[:, None] * (np.arange(logs.shape[1]) + 0.5) * np.pi / logs.shape[1]
-    return (logs @ np.cos(k).T).mean(0)
+    return logs @ np.cos(k).T
+
+
+def cepstrum(x: np.ndarray, rate: int, n: int = 13) -> np.ndarray:
+    """Mean mel-frequency cepstral coefficients."""
+    return cepstra(x, rate, n).mean(0)
 
 
 def voice_similarity(a: np.ndarray, b: np.ndarray, rate: int) -> float:
@@ -400,6 +405,7 @@ def interruptions(x: np.ndarray, rate: int, least: float = 0.8, gap: float = 0.2
     """Stretches that sound like someone cutting in: frames scored by energy, zero crossings, centroid and jumps of pitch."""
     size, hop = max(64, rate // 20), max(32, rate // 40)
     f = frames(x, size, hop)
+    # Factors, percentiles and weights of the four signs of an interruption, which results must agree on.
     energy = (f**2).mean(1)
     crossing = (np.diff(np.signbit(f), axis=1) != 0).mean(1)
     p = np.abs(np.fft.rfft(f, axis=1))
@@ -595,16 +601,20 @@ def measured(df: DataFrame, array: str, rate: str, kernel: Kernel = features, ou
 
 
 def filtered(df: DataFrame, array: str, rate: str, kernel: Callable[[np.ndarray, int], np.ndarray]) -> DataFrame:
-    """Each signal through a filter. One that is unusable, or on which the filter fails, is passed on unchanged."""
+    """Each signal through a filter, with ``status``: ``done``, or why the signal is passed on unchanged (``unusable`` or the filter's error)."""
+    df = df.drop("status")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
+            out, status = [], []
             for old, s in zip(batch.column(array).to_pylist(), _signals(batch, array, rate), strict=True):
                 try:
                     out.append(old if s is None else kernel(*s).tolist())
-                except (ValueError, FloatingPointError, IndexError):
+                    status.append("unusable" if s is None else "done")
+                except (ValueError, FloatingPointError, IndexError, np.linalg.LinAlgError) as e:
                     out.append(old)
-            yield pa.RecordBatch.from_arrays([pa.array(out, batch.schema.field(n).type) if n == array else batch.column(n) for n in batch.schema.names], batch.schema.names)
+                    status.append(f"{type(e).__name__}: {e}")
+            columns = [pa.array(out, batch.schema.field(n).type) if n == array else batch.column(n) for n in batch.schema.names]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(status, pa.string())], [*batch.schema.names, "status"])
 
-    return df.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields))
+    return df.mapInArrow(run, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields), "status string"]))
