@@ -76,3 +76,63 @@ def test_no_machine_local_folder_on_a_cluster(master):
     fake = SimpleNamespace(conf=none, sparkContext=SimpleNamespace(master=master, getConf=lambda: none))
     with pytest.raises(ValueError):
         shared_folder(fake)
+
+
+def _wav(path, x, rate=8000, width=2, channels=1):
+    import wave
+
+    with wave.open(str(path), "wb") as w:
+        w.setnchannels(channels)
+        w.setsampwidth(width)
+        w.setframerate(rate)
+        w.writeframes((np.asarray(x) * 32767).astype("<i2").tobytes())
+
+
+def test_audio_in_chunks(spark, tmp_path):
+    from voxloom.sources import formats as O
+
+    x = np.sin(np.arange(20_000) / 10)
+    _wav(tmp_path / "a.wav", x)
+    _wav(tmp_path / "b.wav", np.repeat(x[:3000], 2), channels=2)
+    (tmp_path / "c.wav").write_bytes(b"RIFF????WAVEjunk")
+    (tmp_path / "d.wav").write_bytes(b"")
+    got = {}
+    for r in O.audio_chunks(spark, f"{tmp_path}/*.wav", 1.0).collect():
+        got.setdefault(r.path[-5:], []).append(r)
+    assert set(got) == {"a.wav", "b.wav"}
+    parts = sorted(got["a.wav"], key=lambda r: r.chunk)
+    assert [(p.chunk, p.start_time, len(p.audio.array)) for p in parts] == [(0, 0.0, 8000), (1, 1.0, 8000), (2, 2.0, 4000)]
+    assert np.allclose(np.concatenate([p.audio.array for p in parts]), x, atol=1e-3) and len(got["b.wav"][0].audio.array) == 3000
+
+
+def test_embeddings_are_written_by_data_set(spark, tmp_path):
+    from voxloom.sources.sinks import embedding_export
+
+    df = spark.createDataFrame([("a", "x", [1.0, 2.0]), ("b", "y", None), ("c", "x", [3.0])], "id string, dataset string, v array<double>")
+    embedding_export(df, f"{tmp_path}/out", "id", "v", "dataset")
+    assert {(r.id, tuple(r.vector), r.size, r.dataset) for r in spark.read.parquet(f"{tmp_path}/out").collect()} == {("a", (1.0, 2.0), 2, "x"), ("c", (3.0,), 1, "x")}
+
+
+def test_steps_that_are_left_out_are_named(spark):
+    from voxloom.functions import extensions as X
+
+    out = []
+    assert X.chain(spark.range(3), [(lambda d: d.select("nothing"), True)], out).count() == 3 and len(out) == 1 and "nothing" in out[0][1]
+
+
+def test_weights_sizes_and_patterns(spark):
+    from voxloom.operators import statistics as T
+
+    g = np.random.default_rng(1)
+    x = g.standard_normal((400, 3))
+    rows = [(*map(float, v), float(v @ [0.7, 0.0, 0.3])) for v in x] + [(None, 1.0, 1.0, 1.0)]
+    w = T.learned_weights(spark.createDataFrame(rows, "a double, b double, c double, y double"), ["a", "b", "c"], "y")
+    assert [round(v, 3) for v in w.values()] == [0.7, 0.0, 0.3]
+    worse = T.learned_weights(spark.createDataFrame([(*r[:3], (r[3] or 0) - 2 * (r[1] or 0)) for r in rows[:400]], "a double, b double, c double, y double"), ["a", "b", "c"], "y")
+    assert min(worse.values()) == 0 and sum(worse.values()) == pytest.approx(1)
+    one = spark.range(1).select(T.required_size(F.lit(0.5)).alias("n"), T.required_size(F.lit(0.0)).alias("none"), T.achieved_power(F.lit(63), F.lit(0.5)).alias("p")).first()
+    assert one.n == 63 and one.none is None and one.p == pytest.approx(0.8, abs=0.01)
+    base = spark.createDataFrame([("k", "p", 1.0, 10.0), ("k", "q", 2.0, 20.0), ("other", "r", 1.0, 10.0)], "kind string, name string, u double, v double")
+    data = spark.createDataFrame([(1, "k", 1.9, 19.0), (2, "k", 1.0, None), (3, "z", 1.0, 1.0), (4, None, 1.0, 1.0)], "id int, kind string, u double, v double")
+    got = {r.id: (r.name, round(r.similarity, 3)) for r in T.matched_patterns(data, "id", "kind", ["u", "v"], base, "name").collect()}
+    assert got == {1: ("q", 0.95), 2: ("p", 0.5)}

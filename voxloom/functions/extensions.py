@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+import warnings
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -41,15 +42,23 @@ def rule_hits(rules: Mapping[str, str]) -> Column:
     return F.array_compact(F.array(*[F.when(F.expr(condition), F.lit(name)) for name, condition in rules.items()]))
 
 
-def chain(df: DataFrame, steps: Sequence[Step | tuple[Step, bool]]) -> DataFrame:
-    """Apply steps in turn. A pair (step, True) is optional: if it can't be planned it is left out."""
+def chain(df: DataFrame, steps: Sequence[Step | tuple[Step, bool]], left_out: list[tuple[str, str]] | None = None) -> DataFrame:
+    """Apply steps in turn. A pair (step, True) is optional: if it can't be planned it is left out.
+
+    ``left_out`` gets the name and the error of every step that was left out; without it a warning says so.
+    """
     for step in steps:
         call, optional = step if isinstance(step, tuple) else (step, False)
         try:
             df = call(df)
-        except Exception:
+        except Exception as e:
             if not optional:
                 raise
+            name = getattr(call, "__name__", str(call))
+            if left_out is None:
+                warnings.warn(f"step {name} is left out: {e}", stacklevel=2)
+            else:
+                left_out.append((name, str(e)))
     return df
 
 
@@ -59,6 +68,23 @@ def register_functions(spark: SparkSession, functions: Mapping[str, tuple[Callab
         spark.udf.register(name, F.pandas_udf(function, kind))
 
 
+class SlidingWindows:
+    """Table function: windows of ``width`` every ``hop`` that lie within a length, as (``segment``, ``start``, ``end``)."""
+
+    def eval(self, length: float, width: float, hop: float):  # noqa: ANN201
+        if length is None or not length == length or width <= 0 or hop <= 0:
+            return
+        k = 0
+        while round(k * hop + width, 9) <= length:
+            yield k, k * hop, k * hop + width
+            k += 1
+
+
+def register_table_functions(spark: SparkSession) -> None:
+    """Make ``sliding_windows(length, width, hop)`` known to SQL, for lateral joins: one row becomes many."""
+    spark.udtf.register("sliding_windows", F.udtf(SlidingWindows, returnType="segment int, start double, end double"))
+
+
 def better_transcript(first: Column, first_confidence: Column, second: Column, second_confidence: Column) -> tuple[Column, Column]:
     """Transcript and confidence of the surer of two models, the first of equals; ``[INAUDIBLE]`` at 0.1 without either.
 

@@ -91,3 +91,20 @@ def severity_level(severity: Column) -> Column:
 def repair_priority(severity: Column, ease: Column, confidence: Column) -> Column:
     """What is severe, sure and hard to mend comes first."""
     return severity * (1 - ease) * confidence
+
+
+# SNRs in dB from which less filtering is enough.
+FILTERING = [(35, "none"), (25, "light"), (15, "moderate")]
+
+
+def filtering_level(snr: Column) -> Column:
+    """How much filtering a signal needs; null for no SNR."""
+    return ladder(snr, FILTERING, "aggressive")
+
+
+def improved(before: dict[str, Column], after: dict[str, Column]) -> Column:
+    """Whether a filter was worth it: 3 dB of SNR gained, and 5 dB or half a point of PESQ or a tenth of STOI; null counts as no gain."""
+    gain = lambda m: F.coalesce(after[m] - before[m], F.lit(0.0))
+    # The least gains.
+    return (gain("snr") >= 3) & ((gain("snr") > 5) | (gain("pesq") > 0.5) | (gain("stoi") > 0.1))
+

@@ -262,3 +262,71 @@ def best_threshold(df: DataFrame, keys: Sequence[str], score: str, truth: Column
     f1 = lambda i: F.round(F.coalesce(2.0 * F.col(f"tp{i}") / F.nullif(2 * F.col(f"tp{i}") + F.col(f"fp{i}") + F.col(f"fn{i}"), F.lit(0)), F.lit(0.0)), 6)
     best = F.array_max(F.array(*[F.struct(f1(i).alias("f1"), F.lit(-x).alias("first")) for i, x in enumerate(thresholds)]))
     return wide.select(*keys, best["f1"].alias("f1"), (-best["first"]).alias("threshold"))
+
+
+def required_size(effect: Column, alpha: float = 0.05, power: float = 0.8) -> Column:
+    """Rows that each of two groups needs for an effect (Cohen's d) to be found with the power, by the normal distribution; null for no effect."""
+    z = NormalDist().inv_cdf(1 - alpha / 2) + NormalDist().inv_cdf(power)
+    return F.ceil(2 * F.pow(z / F.nullif(effect, F.lit(0.0)), F.lit(2.0)))
+
+
+def achieved_power(n: Column, effect: Column, alpha: float = 0.05) -> Column:
+    """Power with which two groups of ``n`` rows find an effect, by the normal distribution (see :func:`normal_cdf`)."""
+    return normal_cdf(F.abs(effect) * F.sqrt(n / 2) - NormalDist().inv_cdf(1 - alpha / 2))
+
+
+def experiment_winner(df: DataFrame, group: str, value: str, weight: str, a: str, b: str, least: int = 10) -> DataFrame:
+    """The arm of larger weighted mean, if both have ``least`` rows and Welch's t is over 2: ``A``, ``B`` or null."""
+    arm = lambda g: F.sum(F.when(F.col(group) == g, F.col(value) * F.col(weight))) / F.nullif(F.sum(F.when((F.col(group) == g) & F.col(value).isNotNull(), F.col(weight))), F.lit(0))
+    means = df.agg(arm(a).alias("mean_a"), arm(b).alias("mean_b"))
+    t = group_effects(df, group, value, a, b).select("n_a", "n_b", "t", "p").join(means, F.lit(True))  # one row each
+    clear = (F.col("n_a") >= least) & (F.col("n_b") >= least) & (F.abs("t") > 2)
+    return t.withColumn("winner", F.when(clear, F.when(F.col("mean_a") > F.col("mean_b"), "A").otherwise("B")))
+
+
+def learned_weights(df: DataFrame, metrics: Sequence[str], target: str, rounds: int = 5000) -> dict[str, float]:
+    """Weights of the metrics, none negative and 1 in all, whose weighted sum is nearest to the target in squares.
+
+    Only sums of products come to the driver (a number for each pair of metrics); rows with a missing value don't count. Equal weights without rows.
+    """
+    columns = [F.col(c).cast("double") for c in (*metrics, target)]
+    good = df.where(F.lit(True))
+    for c in columns:
+        good = good.where(c.isNotNull() & ~F.isnan(c))
+    k = len(metrics)
+    sums = good.agg(F.count("*"), *[F.sum(columns[i] * columns[j]) for i in range(k) for j in range(k + 1)]).first()
+    if not sums[0]:
+        return dict.fromkeys(metrics, 1 / k)
+    products = np.array(sums[1:], float).reshape(k, k + 1) / sums[0]
+    gram, aim = products[:, :k], products[:, k]
+    step, w = 1 / max(np.linalg.eigvalsh(gram)[-1], 1e-12), np.full(k, 1 / k)
+    ahead, pace = w, 1.0
+    for _ in range(rounds):
+        y = ahead - step * (gram @ ahead - aim)
+        # The nearest point of the simplex.
+        down = np.sort(y)[::-1]
+        over = (np.cumsum(down) - 1) / np.arange(1, k + 1)
+        new = np.maximum(y - over[np.flatnonzero(down > over)[-1]], 0)
+        faster = (1 + math.sqrt(1 + 4 * pace * pace)) / 2
+        ahead, pace, w = new + (pace - 1) / faster * (new - w), faster, new
+    return dict(zip(metrics, w.tolist(), strict=True))
+
+
+MOST_PATTERNS = 10_000  # of a pattern base, which is sent to every task
+
+
+def matched_patterns(df: DataFrame, key: str, kind: str, features: Sequence[str], patterns: DataFrame, name: str, least: float = 0.5) -> DataFrame:
+    """The pattern of the same kind that is most similar to each row: ``key``, ``name``, ``similarity``; rows without one over ``least`` are left out.
+
+    Similarity is the mean over the features of 1 less the difference's share of the larger size; a missing feature counts 0.
+    Ties go to the smallest name. More than ``MOST_PATTERNS`` patterns are refused.
+    """
+    if patterns.limit(MOST_PATTERNS + 1).count() > MOST_PATTERNS:
+        raise ValueError("too many patterns to send to every task")
+    theirs = F.broadcast(patterns.select(F.col(kind).alias("__kind"), F.col(name).alias("__name"), *[F.col(f).cast("double").alias(f"__{f}") for f in features]))
+    both = df.select(F.col(key).alias("__key"), F.col(kind).alias("__k"), *[F.col(f).cast("double").alias(f) for f in features]).join(theirs, F.col("__k") == F.col("__kind"))
+    alike = lambda f: 1 - F.abs(F.col(f) - F.col(f"__{f}")) / F.greatest(F.abs(f), F.abs(f"__{f}"), F.lit(1e-12))
+    both = both.withColumn("similarity", F.round(sum((F.coalesce(alike(f), F.lit(0.0)) for f in features), F.lit(0.0)) / len(features), 9)).where(F.col("similarity") >= least)
+    # The best of each row: a minimum with partial aggregation.
+    best = both.groupBy("__key").agg(F.min(F.struct((-F.col("similarity")).alias("s"), F.col("__name").alias("n"))).alias("b"))
+    return best.select(F.col("__key").alias(key), F.col("b.n").alias(name), (-F.col("b.s")).alias("similarity"))

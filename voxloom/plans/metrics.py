@@ -13,6 +13,7 @@ from voxloom.functions import scalars as S
 from voxloom.functions import scores as C
 from voxloom.operators import aggregates as A
 from voxloom.operators.records import first_of_each, keep_best
+from voxloom.operators.statistics import learned_weights
 from voxloom.plans.records import ONCE, PLAIN
 from voxloom.plans.registry import Registry
 from voxloom.sources import table
@@ -261,3 +262,22 @@ def persistent_categories(spark: SparkSession, folder: str) -> DataFrame:
     months = table(spark, folder, "error_records").where("occurred_at is not null").select(F.coalesce("category", F.lit("unknown")).alias("category"), F.trunc("occurred_at", "month").alias("month")).distinct()
     whole = months.agg(F.count_distinct("month").alias("whole"))
     return months.groupBy("category").agg(F.count("*").alias("n_months")).join(whole, F.lit(True)).where("n_months > 0.5 * whole").drop("whole")
+
+
+@METRICS.query("filtering_levels", f"""
+SELECT level, count(*) AS n, CAST(sum(CASE WHEN gain >= 3 AND (gain > 5 OR stoi > 0.9) THEN 1 ELSE 0 END) AS BIGINT) AS n_improved FROM (
+  SELECT CASE WHEN snr IS NULL THEN NULL WHEN snr >= 35 THEN 'none' WHEN snr >= 25 THEN 'light' WHEN snr >= 15 THEN 'moderate' ELSE 'aggressive' END AS level, coalesce(snr * 0.2, 0) AS gain, coalesce(stoi, 0) AS stoi FROM {VIEW}) GROUP BY level""")
+def filtering_levels(spark: SparkSession, folder: str) -> DataFrame:
+    """How much filtering samples need, and for how many a fifth more SNR would be worth it."""
+    rows = view(spark, folder)
+    none = F.lit(None).cast("double")
+    better = C.improved({"snr": F.col("snr"), "pesq": none, "stoi": F.lit(0.8)}, {"snr": F.col("snr") * 1.2, "pesq": none, "stoi": F.col("stoi")})
+    return rows.groupBy(C.filtering_level(F.col("snr")).alias("level")).agg(F.count("*").alias("n"), F.count_if(better).alias("n_improved"))
+
+
+@METRICS.query("metric_weights")
+def metric_weights(spark: SparkSession, folder: str) -> DataFrame:
+    """Weights of the metrics under which their mean is nearest to the samples' lengths on a scale of a minute."""
+    rows = view(spark, folder).withColumn("target", F.col("len") / 60)
+    found = learned_weights(rows, NAMES, "target")
+    return spark.createDataFrame([(m, round(w, 6)) for m, w in found.items()], "metric string, weight double")

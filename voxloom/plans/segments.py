@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from voxloom.functions.extensions import register_table_functions
 from voxloom.operators import segments as G
 from voxloom.plans.registry import Registry
 from voxloom.sources import table
@@ -121,6 +122,16 @@ def sliding_segments(spark: SparkSession, folder: str) -> DataFrame:
     return rows.groupBy("recording_id").agg(F.count("*").alias("n"))
 
 
+@SEGMENTS.query("window_table", f"""
+SELECT recording_id, CAST(k AS INT) AS segment, k * 20.0 AS start, k * 20.0 + 40.0 AS "end" FROM (
+  SELECT recording_id, unnest(generate_series(0, CAST(floor(round((d - 40.0) / 20.0, 6)) AS BIGINT))) AS k FROM (SELECT recording_id, round(max(end_time), 3) AS d FROM {_CLEAN} GROUP BY 1) WHERE d >= 40)""")
+def window_table(spark: SparkSession, folder: str) -> DataFrame:
+    """Windows of 40 s every 20 s of each recording, by a table function."""
+    register_table_functions(spark)
+    _clean(spark, folder).groupBy("recording_id").agg(F.round(F.max("end_time"), 3).alias("d")).createOrReplaceTempView("voxloom_spans")
+    return spark.sql("SELECT recording_id, segment, start, end FROM voxloom_spans, LATERAL sliding_windows(d, 40D, 20D)")
+
+
 @SEGMENTS.query("rttm_lines", f"SELECT DISTINCT 'SPEAKER ' || recording_id || ' 1 ' || printf('%.3f', start_time) || ' ' || printf('%.3f', end_time - start_time) || ' speaker_' || speaker_id AS line FROM {_CLEAN}")
 def rttm_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Segments as lines of the usual text form."""

@@ -207,3 +207,24 @@ def hourly_windows(spark: SparkSession, folder: str) -> DataFrame:
     """Tumbling windows of six hours."""
     rows = table(spark, folder, "events").groupBy("event_type", F.window("ts", "6 hours").alias("w")).agg(F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("total"))
     return rows.select("event_type", F.col("w.start").cast("timestamp_ntz").alias("window_start"), "n", "total")
+
+
+@SERIES.query("user_degradations", """
+SELECT user_id, n, round(slope, 6) AS slope, round(r, 6) AS r, first_value, last_value, CASE WHEN slope > -0.05 THEN 'medium' ELSE 'high' END AS severity FROM (
+  SELECT user_id, count(*) AS n, regr_slope(value, k) AS slope, corr(k, value) AS r, arg_min(value, k) AS first_value, arg_max(value, k) AS last_value FROM (
+    SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY rn) AS k FROM (SELECT user_id, value, rn, max(rn) OVER (PARTITION BY user_id) AS last FROM (
+      SELECT user_id, value, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events)) WHERE last - rn < 6 AND value IS NOT NULL AND NOT isnan(value)) GROUP BY user_id)
+WHERE n >= 5 AND slope < -0.01 AND abs(r) > 0.7""")
+def user_degradations(spark: SparkSession, folder: str) -> DataFrame:
+    """Users whose last six values fall."""
+    events = table(spark, folder, "events").select("event_id", "user_id", "ts", "value")
+    rows = W.latest(W.numbered(events, ["user_id"], ["ts", "event_id"], F.to_date("ts")), ["user_id"], 6)
+    out = W.degradations(rows, ["user_id"], "rn", "value")
+    return out.select("user_id", "n", F.round("slope", 6).alias("slope"), F.round("r", 6).alias("r"), "first_value", "last_value", "severity")
+
+
+@SERIES.query("seasons")
+def seasons(spark: SparkSession, folder: str) -> DataFrame:
+    """Period and strength of the strongest season in the daily means of each kind of event."""
+    days = table(spark, folder, "events").groupBy("event_type", F.datediff(F.to_date("ts"), F.lit("1970-01-01")).alias("day")).agg(F.avg("value").alias("value"))
+    return W.seasons(days, ["event_type"], "value", "day").select("event_type", "n", "period", F.round("strength", 4).alias("strength"))

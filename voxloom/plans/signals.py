@@ -100,10 +100,10 @@ def voice_features(spark: SparkSession, folder: str) -> DataFrame:
 def enhanced_signals(spark: SparkSession, folder: str) -> DataFrame:
     """How far filtering by the noise's level brings the longer signals, against their clean form, and its status."""
     rows = A.filtered(_long_signals(spark, folder).withColumn("before", F.col("noisy")), "noisy", "rate", adaptive)
-    ratios = lambda df, name: A.with_ratios(df, "clean", name).select("emb_id", "status", "si_sdr")
-    after = ratios(rows.select("emb_id", "status", "clean", "noisy"), "noisy").select("emb_id", "status", F.col("si_sdr").alias("after"))
-    before = ratios(rows.select("emb_id", "status", "clean", "before"), "before").select("emb_id", F.col("si_sdr").alias("before"))
-    return after.join(before, "emb_id").select("emb_id", "status", F.round("before", 4).alias("before"), F.round("after", 4).alias("after"))
+    forms = F.explode(F.array(F.struct(F.lit(True).alias("done"), F.col("noisy").alias("x")), F.struct(F.lit(False).alias("done"), F.col("before").alias("x"))))
+    rows = rows.select("emb_id", "status", "clean", forms.alias("f")).select("emb_id", "status", "clean", "f.done", "f.x")
+    ratios = A.with_ratios(rows, "clean", "x").groupBy("emb_id")
+    return ratios.agg(F.first("status").alias("status"), *[F.round(F.max(F.when(F.col("done") == d, F.col("si_sdr"))), 4).alias(n) for n, d in (("before", False), ("after", True))])
 
 
 @SIGNALS.query("signal_levels", f"""

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from voxloom.operators import aggregates as A
 from voxloom.operators import statistics as T
 from voxloom.operators import vectors as V
-from voxloom.plans.metrics import VIEW, view
+from voxloom.plans.metrics import NAMES, VIEW, view
 from voxloom.plans.registry import Registry
 from voxloom.sources import table
 
@@ -120,3 +121,57 @@ SELECT dataset, max(f1) AS f1, min(t) FILTER (f1 = top) AS threshold FROM (SELEC
 def best_threshold(spark: SparkSession, folder: str) -> DataFrame:
     """The bound on a metric that best tells one split, by source."""
     return T.best_threshold(view(spark, folder), ["dataset"], "stoi", F.col("split") == "train", [k / 10 for k in range(1, 9)])
+
+
+@VECTORS.query("sample_sizes", f"""
+SELECT event_type, n, round(d, 6) AS effect, CAST(ceil(2 * pow(2.8015852162522725 / d, 2)) AS BIGINT) AS required, round(CASE WHEN z >= 0 THEN {_PHI.format(z='z')} ELSE 1 - {_PHI.format(z='z')} END, 5) AS power FROM (
+  SELECT *, abs(d) * sqrt(n / 2.0) - 1.9599639845400536 AS z FROM (SELECT e.event_type, count(value) AS n, round((avg(value) - any_value(m)) / any_value(s), 9) AS d FROM events e, (SELECT avg(value) AS m, stddev_samp(value) AS s FROM events) GROUP BY e.event_type))""")
+def sample_sizes(spark: SparkSession, folder: str) -> DataFrame:
+    """How far each kind of event is from all, and how many rows it takes to see that."""
+    events = table(spark, folder, "events").select("event_type", "value")
+    whole = events.agg(F.avg("value").alias("m"), F.stddev_samp("value").alias("s"))
+    rows = events.groupBy("event_type").agg(F.count("value").alias("n"), F.avg("value").alias("a")).join(whole, F.lit(True))
+    d = F.round((F.col("a") - F.col("m")) / F.nullif("s", F.lit(0.0)), 9)
+    return rows.select("event_type", "n", F.round(d, 6).alias("effect"), T.required_size(d).alias("required"), F.round(T.achieved_power(F.col("n"), d), 5).alias("power"))
+
+
+@VECTORS.query("experiment_winner", f"""
+SELECT n_a, n_b, round(z, 6) AS t, mean_a, mean_b, CASE WHEN n_a >= 10 AND n_b >= 10 AND abs(z) > 2 THEN CASE WHEN mean_a > mean_b THEN 'A' ELSE 'B' END END AS winner FROM (
+  SELECT na AS n_a, nb AS n_b, z FROM ({_effects('error', 'purchase')})), (
+  SELECT round(sum(value * (1 + user_id % 3)) FILTER (event_type = 'error') / sum(1 + user_id % 3) FILTER (event_type = 'error' AND value IS NOT NULL), 6) AS mean_a,
+    round(sum(value * (1 + user_id % 3)) FILTER (event_type = 'purchase') / sum(1 + user_id % 3) FILTER (event_type = 'purchase' AND value IS NOT NULL), 6) AS mean_b FROM events)""")
+def experiment_winner(spark: SparkSession, folder: str) -> DataFrame:
+    """Two kinds of events as the arms of an experiment, with users weighing differently."""
+    events = table(spark, folder, "events").withColumn("w", 1 + F.col("user_id") % 3)
+    out = T.experiment_winner(events, "event_type", "value", "w", "error", "purchase")
+    return out.select("n_a", "n_b", "t", F.round("mean_a", 6).alias("mean_a"), F.round("mean_b", 6).alias("mean_b"), "winner")
+
+
+@VECTORS.query("parameter_importance", f"""
+SELECT parameter, count(m) AS n_settings, round(var_pop(m), 9) AS importance FROM (
+  SELECT 'dataset' AS parameter, dataset AS setting, avg(stoi) AS m FROM {VIEW} GROUP BY dataset UNION ALL SELECT 'split', split, avg(stoi) FROM {VIEW} GROUP BY split) GROUP BY parameter""")
+def parameter_importance(spark: SparkSession, folder: str) -> DataFrame:
+    """How much a metric's mean differs between sources and between splits."""
+    rows = A.parameter_importance(view(spark, folder), ["dataset", "split"], "stoi")
+    return rows.select("parameter", "n_settings", F.round("importance", 9).alias("importance"))
+
+
+@VECTORS.query("success_profile", f"""
+WITH s AS (SELECT split = 'train' AS ok, {", ".join(f"coalesce({m}, 0) AS {m}" for m in NAMES)} FROM {VIEW} WHERE split IS NOT NULL),
+n AS (SELECT count(*) AS n, CAST(sum(CASE WHEN ok THEN 1 ELSE 0 END) AS BIGINT) AS n_ok FROM s)
+""" + " UNION ALL ".join(f"SELECT '{m}' AS metric, n, n_ok, round(quantile_cont({m}, 0.1), 5) AS min, round(quantile_cont({m}, 0.5), 5) AS target, round(quantile_cont({m}, 0.9), 5) AS max FROM s, n WHERE ok GROUP BY n, n_ok" for m in NAMES))
+def success_profile(spark: SparkSession, folder: str) -> DataFrame:
+    """The usual range of each metric over the samples of one split."""
+    rows = A.success_profile(view(spark, folder).withColumn("ok", F.col("split") == "train"), "ok", NAMES)
+    return rows.select("metric", "n", "n_ok", *[F.round(c, 5).alias(c) for c in ("min", "target", "max")])
+
+
+@VECTORS.query("matched_patterns", f"""
+SELECT id, pattern, s AS similarity FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY s DESC, pattern) AS n FROM (
+  SELECT v.id, p.pattern, round((CASE WHEN v.pesq IS NULL OR p.pesq IS NULL THEN 0 ELSE 1 - abs(v.pesq - p.pesq) / greatest(abs(v.pesq), abs(p.pesq), 1e-12) END + CASE WHEN v.snr IS NULL OR p.snr IS NULL THEN 0 ELSE 1 - abs(v.snr - p.snr) / greatest(abs(v.snr), abs(p.snr), 1e-12) END) / 2, 9) AS s
+  FROM {VIEW} v JOIN (SELECT split, dataset || '/' || split AS pattern, avg(pesq) AS pesq, avg(snr) AS snr FROM {VIEW} WHERE dataset IS NOT NULL AND split IS NOT NULL GROUP BY 1, 2) p ON v.split = p.split) WHERE s >= 0.5) WHERE n = 1""")
+def matched_patterns(spark: SparkSession, folder: str) -> DataFrame:
+    """The source whose mean metrics in the same split each sample is most like."""
+    rows = view(spark, folder).select("id", "split", "dataset", "pesq", "snr")
+    base = rows.where("dataset is not null and split is not null").groupBy("split", F.concat_ws("/", "dataset", "split").alias("pattern")).agg(F.avg("pesq").alias("pesq"), F.avg("snr").alias("snr"))
+    return T.matched_patterns(rows, "id", "split", ["pesq", "snr"], base, "pattern")

@@ -11,6 +11,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,28 +63,34 @@ def looked_up(df: DataFrame, key: str, own: Sequence[str], side: DataFrame) -> D
 def archive_members(spark: SparkSession, pattern: str, wanted: str = r".*") -> DataFrame:
     """Files in tar archives that match ``pattern`` (a glob, so partitions by folder are pruned): ``archive``, ``member``, ``content``.
 
-    Archives are read a task each and member by member; members that do not match are skipped. An archive that is
+    Archives are read a task each, as streams, so their size is not limited; members that do not match are skipped. An archive that is
     damaged gives what comes before the damage, and a row with a null member.
     """
     form = re.compile(wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for path, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                rows: list[tuple[str, str | None, bytes | None]] = []
+            for path in batch.column(0).to_pylist():
                 try:
-                    with tarfile.open(fileobj=io.BytesIO(content), mode="r:*") as tar:
+                    with _opened(path) as file, tarfile.open(fileobj=file, mode="r|*") as tar:
                         for member in tar:
                             if member.isfile() and form.fullmatch(member.name):
-                                rows.append((path, member.name, tar.extractfile(member).read()))
+                                yield _member(path, member.name, tar.extractfile(member).read())
                 except (tarfile.TarError, EOFError, OSError):
-                    rows.append((path, None, None))
-                for at in range(0, len(rows), 64):
-                    a, m, c = zip(*rows[at : at + 64], strict=True)
-                    yield pa.RecordBatch.from_pydict({"archive": pa.array(a, pa.string()), "member": pa.array(m, pa.string()), "content": pa.array(c, pa.binary())})
+                    yield _member(path, None, None)
 
-    files = spark.read.format("binaryFile").load(pattern).select("path", "content")
-    return files.mapInArrow(run, "archive string, member string, content binary")
+    files = spark.read.format("binaryFile").load(pattern).select("path")
+    return files.repartition("path").mapInArrow(run, "archive string, member string, content binary")
+
+
+def _opened(path: str):
+    """A file of any file system that Arrow knows, for reading in order."""
+    system, inner = fs.FileSystem.from_uri(path if "://" in path else re.sub("^file:", "file://", path))
+    return system.open_input_file(inner)
+
+
+def _member(archive: str, name: str | None, content: bytes | None) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict({"archive": pa.array([archive], pa.string()), "member": pa.array([name], pa.string()), "content": pa.array([content], pa.binary())})
 
 
 def decode_wav(content: bytes) -> tuple[int, np.ndarray] | None:
@@ -94,16 +101,73 @@ def decode_wav(content: bytes) -> tuple[int, np.ndarray] | None:
             raw = w.readframes(w.getnframes())
     except (wave.Error, EOFError):
         return None
+    return (rate, pcm_samples(raw, width, channels)) if width in (1, 2, 3, 4) else None
+
+
+def pcm_samples(raw: bytes, width: int, channels: int) -> np.ndarray:
+    """Mono samples in -1..1 of whole PCM frames, ``width`` bytes a sample."""
     if width == 1:
         x = (np.frombuffer(raw, np.uint8).astype(np.float64) - 128) / 128
-    elif width in (2, 4):
-        x = np.frombuffer(raw, f"<i{width}").astype(np.float64) / float(1 << (8 * width - 1))
     elif width == 3:
         b = np.frombuffer(raw, np.uint8).reshape(-1, 3).astype(np.int32)
         x = ((b[:, 0] | b[:, 1] << 8 | b[:, 2] << 16) << 8 >> 8) / float(1 << 23)
     else:
+        x = np.frombuffer(raw, f"<i{width}").astype(np.float64) / float(1 << (8 * width - 1))
+    return x.reshape(-1, channels).mean(1) if channels > 1 else x
+
+
+def wav_layout(head: bytes, size: int) -> tuple[int, int, int, int, int] | None:
+    """Rate, channels, bytes a sample, and begin and length of the samples of PCM wave data that begins with ``head``; null for anything else."""
+    if head[:4] != b"RIFF" or head[8:12] != b"WAVE":
         return None
-    return rate, x.reshape(-1, channels).mean(1) if channels > 1 else x
+    at, form = 12, None
+    while at + 8 <= len(head):
+        name, length = head[at : at + 4], int.from_bytes(head[at + 4 : at + 8], "little")
+        if name == b"fmt " and at + 24 <= len(head):
+            kind, channels, rate = (int.from_bytes(head[at + i : at + j], "little") for i, j in ((8, 10), (10, 12), (12, 16)))
+            form = (rate, channels, int.from_bytes(head[at + 22 : at + 24], "little") // 8) if kind in (1, 0xFFFE) else None
+        if name == b"data":
+            return (*form, at + 8, min(length, size - at - 8)) if form and form[0] and form[1] and form[2] in (1, 2, 3, 4) else None
+        at += 8 + length + length % 2
+    return None
+
+
+def audio_chunks(spark: SparkSession, pattern: str, seconds: float = 30.0) -> DataFrame:
+    """Wave files in chunks: ``path``, ``chunk`` from 0, ``start_time``, ``audio`` (``array`` of mono samples, ``sampling_rate``).
+
+    Only the heads of files are read to lay the chunks out; a chunk's bytes are read where it is decoded, so a file of any
+    length is shared out over tasks and nothing is read that isn't used. Files that are not PCM wave data, or hold no sample, give no chunk.
+    """
+
+    def lay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for path, size in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                with _opened(path) as file:
+                    layout = wav_layout(file.read(1 << 16), size)
+                if layout:
+                    rate, channels, width, begin, length = layout
+                    frame = channels * width
+                    step = max(1, int(seconds * rate)) * frame
+                    rows += [(path, k, k * step / frame / rate, begin + k * step, min(step, length - k * step) // frame * frame, rate, channels, width) for k in range(-(-(length // frame * frame) // step))]
+            names = ["path", "chunk", "start_time", "begin", "size", "rate", "channels", "width"]
+            kinds = [pa.string(), pa.int32(), pa.float64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
+            columns = list(zip(*rows, strict=True)) or [[]] * 8
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = pa.struct([("array", pa.list_(pa.float32())), ("sampling_rate", pa.int32())])
+        for batch in batches:
+            for r in batch.to_pylist():
+                with _opened(r["path"]) as file:
+                    file.seek(r["begin"])
+                    x = pcm_samples(file.read(r["size"]), r["width"], r["channels"])
+                audio = pa.array([{"array": x.astype(np.float32), "sampling_rate": r["rate"]}], kind)
+                yield pa.RecordBatch.from_arrays([pa.array([r["path"]]), pa.array([r["chunk"]], pa.int32()), pa.array([r["start_time"]]), audio], ["path", "chunk", "start_time", "audio"])
+
+    files = spark.read.format("binaryFile").load(pattern).select("path", "length")
+    laid = files.mapInArrow(lay, "path string, chunk int, start_time double, begin bigint, size bigint, rate int, channels int, width int").repartition("path", "chunk")
+    return laid.mapInArrow(decode, "path string, chunk int, start_time double, audio struct<array:array<float>,sampling_rate:int>")
 
 
 def with_audio(df: DataFrame, content: str) -> DataFrame:
@@ -128,9 +192,11 @@ def available_splits(spark: SparkSession, folder: str, known: Sequence[str] = ("
     return found or ["train"]
 
 
-def estimated_size(df: DataFrame, bytes_of: str, seconds: str, total: int, n: int = 1000) -> dict[str, float]:
-    """Bytes and hours of a whole source from its first ``n`` rows: a sampling estimate."""
-    r = df.limit(n).agg(F.avg(F.length(bytes_of)).alias("b"), F.avg(seconds).alias("s")).first()
+def estimated_size(df: DataFrame, bytes_of: str, seconds: str, total: int, n: int = 1000, seed: int = 1) -> dict[str, float]:
+    """Bytes and hours of a whole source of ``total`` rows, from a random sample of about ``n`` of them."""
+    share = min(1.0, n / max(total, 1))
+    rows = df if share == 1.0 else df.sample(share, seed)
+    r = rows.agg(F.avg(F.length(bytes_of)).alias("b"), F.avg(seconds).alias("s")).first()
     return {"bytes": (r.b or 0.0) * total, "hours": (r.s or 0.0) * total / 3600}
 
 

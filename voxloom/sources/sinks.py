@@ -64,6 +64,12 @@ def wide_export(long: DataFrame, key: str, metric: str, value: str, names: Seque
     long.groupBy(key).pivot(metric, sorted(names)).agg(F.first(value)).write.mode("overwrite").option("header", True).csv(path)
 
 
+def embedding_export(df: DataFrame, path: str, key: str, vector: str, dataset: str) -> None:
+    """Vectors as parquet, a folder for each data set: ``key``, ``vector`` as floats and its ``size``. Null vectors are left out."""
+    rows = df.where(F.col(vector).isNotNull()).select(F.col(key), F.col(vector).cast("array<float>").alias("vector"), F.size(vector).alias("size"), F.col(dataset))
+    rows.write.mode("overwrite").option("compression", "zstd").partitionBy(dataset).parquet(path)
+
+
 def json_export(df: DataFrame, path: str) -> None:
     """One JSON object for each row; nulls are left out."""
     df.select(F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias("value")).write.mode("overwrite").text(path)
