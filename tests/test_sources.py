@@ -136,3 +136,29 @@ def test_weights_sizes_and_patterns(spark):
     data = spark.createDataFrame([(1, "k", 1.9, 19.0), (2, "k", 1.0, None), (3, "z", 1.0, 1.0), (4, None, 1.0, 1.0)], "id int, kind string, u double, v double")
     got = {r.id: (r.name, round(r.similarity, 3)) for r in T.matched_patterns(data, "id", "kind", ["u", "v"], base, "name").collect()}
     assert got == {1: ("q", 0.95), 2: ("p", 0.5)}
+
+
+def test_reports_bytes_and_results(spark, tmp_path):
+    from voxloom.sources import formats as O
+    from voxloom.sources.sinks import html_report
+
+    page = html_report({"a <b>": spark.createDataFrame([("<x>", None), ("y", 2)], "k string, n int")}, "T&C")
+    assert "&lt;x&gt;" in page and "<td></td>" in page and "T&amp;C" in page and page.count("<tr>") == 3
+    df = spark.createDataFrame([(1, [0.0, 0.5, -0.5], 8000, None), (2, None, 8000, bytearray(b"given")), (3, None, 8000, None), (4, [0.1], None, None)], "id int, x array<float>, rate int, bytes binary")
+    got = {r.id: r.bytes for r in O.with_bytes(df, "x", "rate").collect()}
+    assert got[2] == b"given" and got[3] is None and got[4] is None
+    rate, x = O.decode_wav(bytes(got[1]))
+    assert rate == 8000 and np.allclose(x, [0, 0.5, -0.5], atol=1e-4)
+    assert O.head_of(df, 2, F.col("id") > 1).count() == 2
+    df.select("id", "rate").coalesce(1).write.json(f"{tmp_path}/r.json")
+    df.select("id", "rate").coalesce(1).write.option("header", True).csv(f"{tmp_path}/r.csv")
+    assert O.results(spark, f"{tmp_path}/r.json").count() == 4 == O.results(spark, f"{tmp_path}/r.csv").count()
+
+
+def test_exclusions_and_resumption(spark):
+    from voxloom.operators import records as R
+
+    df = spark.createDataFrame([(k, k % 7 if k % 5 else None, "old") for k in range(100)], "k int, v int, reason string")
+    kept, out = R.excluded(df, {"big": F.col("v") > 4, "odd": F.col("k") % 2 == 1})
+    assert kept.count() + out.count() == 100 and {r.reason for r in out.collect()} == {"big", "odd"} and kept.where("v is null").count() > 0
+    assert [r.k for r in R.skipped(df, ["k"], F.floor(F.col("k") / 10), 40, 3).orderBy("k").collect()] == [40, 41, 42]

@@ -87,3 +87,26 @@ def keep_best(df: DataFrame, key: str, name: str, value: str) -> DataFrame:
 def ordered_distinct(df: DataFrame, value: str, position: str) -> DataFrame:
     """Distinct values with the position at which each first stands."""
     return df.where(F.col(value).isNotNull()).groupBy(value).agg(F.min(position).alias(position))
+
+
+def skipped(df: DataFrame, order: Sequence[str], bucket: Column, skip: int, take: int | None = None) -> DataFrame:
+    """Rows after the first ``skip`` in ``order``, ``take`` of them at most: where a run goes on that stopped."""
+    rows = numbered(df, [], order, bucket, "__n")
+    kept = F.col("__n") > skip
+    return rows.where(kept if take is None else kept & (F.col("__n") <= skip + take)).drop("__n")
+
+
+def excluded(df: DataFrame, rules: Mapping[str, Column], reason: str = "reason") -> tuple[DataFrame, DataFrame]:
+    """Rows that no rule excludes, and the others with the name of the first rule that does.
+
+    A rule is a condition on the row; a null condition excludes nothing. An existing column ``reason`` is replaced.
+    """
+    first = F.coalesce(*[F.when(condition, F.lit(name)) for name, condition in rules.items()], F.lit(None).cast("string"))
+    rows = df.withColumn(reason, first)
+    return rows.where(F.col(reason).isNull()).drop(reason), rows.where(F.col(reason).isNotNull())
+
+
+def since(df: DataFrame, time: str, until: Column, hours: float = 0, days: float = 0) -> DataFrame:
+    """Rows of the hours and days up to ``until``, both ends included; rows without a time are left out."""
+    span = F.expr(f"INTERVAL {round((hours + 24 * days) * 3600)} SECOND")
+    return df.where((F.col(time) >= until - span) & (F.col(time) <= until))

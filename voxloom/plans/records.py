@@ -69,11 +69,16 @@ def quarantine(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @RECORDS.query("segment_ids", r"""
-SELECT id, ingested_at, regexp_replace(list_extract(string_split(audio.path, '/'), -1), '(.)\.[^.]*$', '\1') AS segment_id FROM samples""")
+SELECT id, ingested_at, CASE CAST(substr(id, 2) AS BIGINT) % 4 WHEN 0 THEN '0-1-' || id WHEN 1 THEN 'own-' || id WHEN 2 THEN regexp_replace(list_extract(string_split(audio.path, '/'), -1), '(.)\.[^.]*$', '\1') ELSE 'part' || id END AS segment_id FROM samples""")
 def segment_ids(spark: SparkSession, folder: str) -> DataFrame:
-    """The segment id of each sample by the order of precedence, from its path alone."""
-    none = F.lit(None).cast("string")
-    return _samples(spark, folder).select("id", "ingested_at", S.segment_id(none, none, F.col("audio.path"), none).alias("segment_id"))
+    """The segment id of each sample by the order of precedence: a key, an own id, a path or an address, each of which only some have."""
+    turn = F.substring("id", 2, 20).cast("bigint") % 4
+    key = F.when(turn == 0, F.concat(F.lit("a/b/0-1-"), F.col("id")))
+    own = F.when(turn <= 1, F.concat(F.lit("own-"), F.col("id")))
+    path = F.when(turn == 2, F.col("audio.path"))
+    url = F.when(turn >= 2, F.concat(F.lit("http://host/part"), F.col("id"), F.lit(".tar.gz")))
+    named = S.segment_id(key, own, path, url)
+    return _samples(spark, folder).select("id", "ingested_at", F.when((turn == 2) & F.col("audio.path").isNull(), F.lit(None)).otherwise(named).alias("segment_id"))
 
 
 _HASH = "'SPK_' || lpad(CAST(CAST('0x' || substr(md5({}), 1, 8) AS BIGINT) % 100000 AS VARCHAR), 5, '0')"
@@ -277,3 +282,27 @@ def late_records(spark: SparkSession, folder: str) -> DataFrame:
     """Records of each month, and those that came more than a day late."""
     late = F.col("ingested_at") - F.col("recorded_at") > F.expr("INTERVAL 1 DAY")
     return _samples(spark, folder).where("recorded_at is not null").groupBy(F.date_format("recorded_at", "yyyy-MM").alias("month")).agg(F.count("*").alias("n"), F.count_if(late).alias("n_late"))
+
+
+@RECORDS.query("resumed", f"""
+SELECT id FROM (SELECT id, row_number() OVER (ORDER BY hour NULLS FIRST, recorded_at NULLS FIRST, id) AS n FROM (SELECT id, recorded_at, date_trunc('hour', recorded_at) AS hour FROM ({ONCE}))) WHERE n > 100 AND n <= 350""")
+def resumed(spark: SparkSession, folder: str) -> DataFrame:
+    """The 250 samples after the first hundred, in the order of time."""
+    return R.skipped(_once(spark, folder).select("id", "recorded_at"), ["recorded_at", "id"], _hour(), 100, 250).select("id")
+
+
+@RECORDS.query("exclusions", f"""
+SELECT reason, count(*) AS n FROM (SELECT CASE WHEN confidence_score < 0.5 THEN 'unsure' WHEN length < 1 THEN 'short' WHEN language <> 'th' THEN 'language' END AS reason FROM ({ONCE})) WHERE reason IS NOT NULL GROUP BY reason""")
+def exclusions(spark: SparkSession, folder: str) -> DataFrame:
+    """How many samples each of a list of rules excludes, the first that holds counting; what is missing passes."""
+    rules = {"unsure": F.col("confidence_score") < F.lit(0.5).cast("float"), "short": F.col("length") < 1, "language": F.col("language") != "th"}
+    return R.excluded(_once(spark, folder), rules)[1].groupBy("reason").agg(F.count("*").alias("n"))
+
+
+@RECORDS.query("last_month", """
+SELECT dataset_name, count(*) AS n FROM samples, (SELECT max(ingested_at) AS until FROM samples) WHERE ingested_at >= until - INTERVAL 30 DAY AND ingested_at <= until GROUP BY dataset_name""")
+def last_month(spark: SparkSession, folder: str) -> DataFrame:
+    """Records of each source in the thirty days before the last one came."""
+    rows = _samples(spark, folder).select("dataset_name", "ingested_at")
+    both = rows.join(rows.agg(F.max("ingested_at").alias("until")), F.lit(True))  # one row
+    return R.since(both, "ingested_at", F.col("until"), days=30).groupBy("dataset_name").agg(F.count("*").alias("n"))

@@ -12,7 +12,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 Reader = Callable[[SparkSession], DataFrame]
@@ -116,6 +116,45 @@ def pcm_samples(raw: bytes, width: int, channels: int) -> np.ndarray:
     return x.reshape(-1, channels).mean(1) if channels > 1 else x
 
 
+def encode_wav(x: np.ndarray, rate: int) -> bytes:
+    """Mono samples in -1..1 as wave data of 16 bits."""
+    out = io.BytesIO()
+    with wave.open(out, "wb") as w:
+        w.setnchannels(1)
+        w.setsampwidth(2)
+        w.setframerate(rate)
+        w.writeframes(np.clip(np.round(np.asarray(x, float) * 32767), -32768, 32767).astype("<i2").tobytes())
+    return out.getvalue()
+
+
+def with_bytes(df: DataFrame, array: str, rate: str, content: str = "bytes") -> DataFrame:
+    """Add ``content``: the bytes that are there, or else the samples of ``array`` as wave data; null without either or without a rate."""
+    has = content in df.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            given = batch.column(content).to_pylist() if has else [None] * batch.num_rows
+            rows = zip(given, batch.column(array), batch.column(rate).to_pylist(), strict=True)
+            out = [b if b else encode_wav(x.values.to_numpy(zero_copy_only=False), r) if x.is_valid and len(x.values) and r and r > 0 else None for b, x, r in rows]
+            kept = [n for n in batch.schema.names if n != content]
+            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in kept), pa.array(out, pa.binary())], [*kept, content])
+
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name != content)
+    return df.mapInArrow(run, f"{fields}, `{content}` binary")
+
+
+def head_of(df: DataFrame, n: int, condition: Column | None = None) -> DataFrame:
+    """Some ``n`` rows, of those that meet the condition: the scan ends when it has them."""
+    return (df if condition is None else df.where(condition)).limit(n)
+
+
+def results(spark: SparkSession, path: str) -> DataFrame:
+    """Results that were written as JSON lines or as CSV with a header, by the path's ending."""
+    if path.rstrip("/").endswith(".csv"):
+        return spark.read.option("header", True).option("inferSchema", True).csv(path)
+    return spark.read.json(path)
+
+
 def wav_layout(head: bytes, size: int) -> tuple[int, int, int, int, int] | None:
     """Rate, channels, bytes a sample, and begin and length of the samples of PCM wave data that begins with ``head``; null for anything else."""
     if head[:4] != b"RIFF" or head[8:12] != b"WAVE":

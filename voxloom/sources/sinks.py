@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from html import escape
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -80,3 +81,18 @@ def card(totals: DataFrame, title: str) -> str:
     rows = totals.select("dataset", "n", "hours").orderBy("dataset").collect()
     lines = [f"# {title}", "", f"- samples: {sum(r.n for r in rows)}", f"- hours: {sum(r.hours or 0 for r in rows):.2f}", ""]
     return "\n".join([*lines, *(f"{i}. {r.dataset}: {r.n} samples, {r.hours or 0:.2f} h" for i, r in enumerate(rows, 1)), ""])
+
+
+MOST_LINES = 1000  # of a table in a report
+
+
+def html_report(tables: dict[str, DataFrame], title: str) -> str:
+    """A page with one table for each small result, ``MOST_LINES`` lines at most, which it says if there are more."""
+    parts = [f"<!doctype html><meta charset=utf-8><title>{escape(title)}</title><h1>{escape(title)}</h1>"]
+    for name, df in tables.items():
+        rows = df.limit(MOST_LINES + 1).collect()
+        cells = lambda values, tag: "<tr>" + "".join(f"<{tag}>{escape('' if v is None else str(v))}</{tag}>" for v in values) + "</tr>"
+        parts.append(f"<h2>{escape(name)}</h2><table>" + cells(df.columns, "th") + "".join(cells(r, "td") for r in rows[:MOST_LINES]) + "</table>")
+        if len(rows) > MOST_LINES:
+            parts.append(f"<p>The first {MOST_LINES} lines.</p>")
+    return "\n".join(parts) + "\n"
