@@ -183,8 +183,13 @@ class LanguageModel:
         if new:
             size = np.array([len(w) + 1 for w in new])[:, None]
             rows = (self.bits(new) * self.weight) @ self.code.T * size / self.code.shape[1]
-            self.index.update(zip(new, range(len(self.index), len(self.index) + len(new)), strict=True))
-            self.scores = rows if self.scores is None else np.vstack([self.scores, rows])
+            begin, end = len(self.index), len(self.index) + len(new)
+            if self.scores is None or len(self.scores) < end:  # room for as many again, so that a few words at a time cost little
+                room = np.zeros((2 * end, rows.shape[1]))
+                room[:begin] = self.scores[:begin] if self.scores is not None else 0
+                self.scores = room
+            self.scores[begin:end] = rows
+            self.index.update(zip(new, range(begin, end), strict=True))
 
     def forget(self, most: int = WORDS_HELD) -> None:
         """Drop all words if there are more than ``most``: called between batches, so a batch always has its own."""
