@@ -162,3 +162,23 @@ def test_exclusions_and_resumption(spark):
     kept, out = R.excluded(df, {"big": F.col("v") > 4, "odd": F.col("k") % 2 == 1})
     assert kept.count() + out.count() == 100 and {r.reason for r in out.collect()} == {"big", "odd"} and kept.where("v is null").count() > 0
     assert [r.k for r in R.skipped(df, ["k"], F.floor(F.col("k") / 10), 40, 3).orderBy("k").collect()] == [40, 41, 42]
+
+
+def test_tasks_end_in_time_and_say_so(tmp_path, monkeypatch):
+    import time
+    from threading import Event
+
+    from voxloom.functions import extensions as X
+
+    heard, stop = [], Event()
+    tasks = [X.Task("slow", lambda r: time.sleep(2), timeout=0.1, tries=2), X.Task("after", lambda r: 1, ["slow"]), X.Task("quick", lambda r: stop.set() or 7, timeout=5), X.Task("late", lambda r: 8, ["quick"])]
+    done = X.run_tasks(tasks, on_event=lambda *e: heard.append(e), cancel=None)
+    assert done["slow"][0] == "failed" and isinstance(done["slow"][1], TimeoutError) and done["after"][0] == "skipped" and done["quick"] == ("done", 7) and done["late"] == ("done", 8)
+    assert ("slow", "retried") in heard and ("after", "skipped") in heard
+    assert X.run_tasks([X.Task("a", lambda r: 1)], cancel=stop)["a"][0] == "cancelled"
+    (tmp_path / "plugs").mkdir()
+    (tmp_path / "plugs" / "__init__.py").write_text("")
+    (tmp_path / "plugs" / "one.py").write_text("from voxloom.functions.extensions import METRICS\ndef register():\n    METRICS.add('from_plugin', len)\n")
+    (tmp_path / "plugs" / "two.py").write_text("x = 1\n")
+    monkeypatch.syspath_prepend(str(tmp_path))
+    assert X.load_plugins("plugs") == ["plugs.one"] and X.METRICS.get("from_plugin") is len

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import importlib
+import pkgutil
 import time
 import warnings
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass
+from threading import Event
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -104,26 +107,59 @@ class Task:
     needs: Sequence[str] = ()
     tries: int = 1
     delay: float = 0.0
-    results: dict = field(default_factory=dict)
+    timeout: float | None = None
 
 
-def run_tasks(tasks: Sequence[Task], workers: int = 4) -> dict[str, tuple[str, object]]:
-    """Run tasks when what they need is done: name to (``done``, ``failed`` or ``skipped``, result or error).
+def load_plugins(package: str) -> list[str]:
+    """Import all modules of a package and call ``register()`` of those that have one: the names of these modules, in order.
+
+    A module's ``register`` adds what it brings to :data:`METRICS`, :data:`STEPS` or :data:`MODELS`.
+    """
+    home = importlib.import_module(package)
+    found = []
+    for info in sorted(pkgutil.iter_modules(home.__path__, f"{package}."), key=lambda i: i.name):
+        module = importlib.import_module(info.name)
+        if callable(getattr(module, "register", None)):
+            module.register()
+            found.append(info.name)
+    return found
+
+
+def run_tasks(
+    tasks: Sequence[Task], workers: int = 4, on_event: Callable[[str, str], None] = lambda name, state: None, cancel: Event | None = None
+) -> dict[str, tuple[str, object]]:
+    """Run tasks when what they need is done: name to (``done``, ``failed``, ``skipped`` or ``cancelled``, result or error).
 
     Tasks that don't need each other run side by side (their Spark jobs share the session). A task is
-    tried again ``tries`` - 1 times, waiting ``delay`` times the try; one whose need is not done is skipped. A cycle or an unknown need is refused.
+    tried again ``tries`` - 1 times, waiting ``delay`` times the try; a try that takes longer than ``timeout`` seconds has failed (what it began is
+    not stopped). One whose need is not done is skipped, and when ``cancel`` is set no further try begins. ``on_event`` hears of
+    every try and end. A cycle or an unknown need is refused.
     """
     by = {t.name: t for t in tasks}
     if unknown := {n for t in tasks for n in t.needs} - set(by):
         raise ValueError(f"unknown tasks are needed: {sorted(unknown)}")
     out: dict[str, tuple[str, object]] = {}
 
+    def attempt(task: Task) -> object:
+        needed = {n: out[n][1] for n in task.needs}
+        if task.timeout is None:
+            return task.run(needed)
+        pool = ThreadPoolExecutor(1)
+        try:
+            return pool.submit(task.run, needed).result(task.timeout)
+        finally:
+            pool.shutdown(wait=False)
+
     def one(task: Task) -> tuple[str, object]:
         if any(out[n][0] != "done" for n in task.needs):
             return "skipped", None
+        error: BaseException | None = None
         for k in range(1, task.tries + 1):
+            if cancel is not None and cancel.is_set():
+                return "cancelled", error
+            on_event(task.name, "started" if k == 1 else "retried")
             try:
-                return "done", task.run({n: out[n][1] for n in task.needs})
+                return "done", attempt(task)
             except Exception as e:  # noqa: BLE001
                 error = e
                 if k < task.tries:
@@ -135,5 +171,7 @@ def run_tasks(tasks: Sequence[Task], workers: int = 4) -> dict[str, tuple[str, o
             ready = [t for t in tasks if t.name not in out and all(n in out for n in t.needs)]
             if not ready:
                 raise ValueError("tasks need each other in a circle")
-            out.update(zip([t.name for t in ready], pool.map(one, ready), strict=True))
+            for task, result in zip(ready, pool.map(one, ready), strict=True):
+                out[task.name] = result
+                on_event(task.name, result[0])
     return out

@@ -110,3 +110,14 @@ def since(df: DataFrame, time: str, until: Column, hours: float = 0, days: float
     """Rows of the hours and days up to ``until``, both ends included; rows without a time are left out."""
     span = F.expr(f"INTERVAL {round((hours + 24 * days) * 3600)} SECOND")
     return df.where((F.col(time) >= until - span) & (F.col(time) <= until))
+
+
+def within_experiments(history: DataFrame, experiments: DataFrame, keys: Sequence[str], time: str, begin: str = "begin", end: str = "end") -> DataFrame:
+    """Rows of the history with each experiment on the same keys (a model and its version, say) in whose span their time falls, both ends included.
+
+    An experiment without an end is still running. Columns of both are kept; names that clash are the history's.
+    """
+    mine = [c for c in experiments.columns if c not in history.columns or c in keys]
+    named = experiments.select(*mine)
+    inside = (F.col(time) >= F.col(begin)) & (F.col(end).isNull() | (F.col(time) <= F.col(end)))
+    return history.join(named, list(keys)).where(inside)

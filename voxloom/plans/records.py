@@ -306,3 +306,15 @@ def last_month(spark: SparkSession, folder: str) -> DataFrame:
     rows = _samples(spark, folder).select("dataset_name", "ingested_at")
     both = rows.join(rows.agg(F.max("ingested_at").alias("until")), F.lit(True))  # one row
     return R.since(both, "ingested_at", F.col("until"), days=30).groupBy("dataset_name").agg(F.count("*").alias("n"))
+
+
+@RECORDS.query("within_experiments", """
+SELECT e.split, e.name, count(*) AS n FROM samples s JOIN (SELECT split, 'early' AS name, min(ingested_at) AS b, min(ingested_at) + INTERVAL 200 DAY AS e FROM samples WHERE split IS NOT NULL GROUP BY split UNION ALL
+  SELECT split, 'late', max(ingested_at) - INTERVAL 30 DAY, NULL FROM samples WHERE split IS NOT NULL GROUP BY split) e ON s.split = e.split AND s.ingested_at >= e.b AND (e.e IS NULL OR s.ingested_at <= e.e) GROUP BY 1, 2""")
+def within_experiments(spark: SparkSession, folder: str) -> DataFrame:
+    """Records in two spans of time of each split, of which one has no end yet."""
+    rows = _samples(spark, folder).select("id", "split", "ingested_at")
+    ends = rows.where("split is not null").groupBy("split").agg(F.min("ingested_at").alias("lo"), F.max("ingested_at").alias("hi"))
+    early = ends.select("split", F.lit("early").alias("name"), F.col("lo").alias("begin"), (F.col("lo") + F.expr("INTERVAL 200 DAY")).alias("end"))
+    late = ends.select("split", F.lit("late").alias("name"), (F.col("hi") - F.expr("INTERVAL 30 DAY")).alias("begin"), F.lit(None).cast("timestamp_ntz").alias("end"))
+    return R.within_experiments(rows, early.unionByName(late), ["split"], "ingested_at").groupBy("split", "name").agg(F.count("*").alias("n"))

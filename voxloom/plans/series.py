@@ -18,7 +18,7 @@ _RN = f"(SELECT *, row_number() OVER ({_ORDER}) AS rn FROM events)"
 
 def series(spark: SparkSession, folder: str) -> DataFrame:
     events = table(spark, folder, "events").select("event_id", "event_type", "ts", "value")
-    return W.numbered(events, ["event_type"], ["ts", "event_id"], F.to_date("ts"))
+    return W.numbered(events, ["event_type"], ["ts", "event_id"], F.date_trunc("hour", "ts"))
 
 
 @SERIES.query("moving_average", f"SELECT event_id, round(avg(value) OVER ({_ORDER} ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 4) AS ma7, round(avg(value) OVER ({_ORDER} ROWS BETWEEN 29 PRECEDING AND CURRENT ROW), 4) AS ma30 FROM events")
@@ -218,7 +218,7 @@ WHERE n >= 5 AND slope < -0.01 AND abs(r) > 0.7""")
 def user_degradations(spark: SparkSession, folder: str) -> DataFrame:
     """Users whose last six values fall."""
     events = table(spark, folder, "events").select("event_id", "user_id", "ts", "value")
-    rows = W.latest(W.numbered(events, ["user_id"], ["ts", "event_id"], F.to_date("ts")), ["user_id"], 6)
+    rows = W.latest(W.numbered(events, ["user_id"], ["ts", "event_id"], F.date_trunc("hour", "ts")), ["user_id"], 6)
     out = W.degradations(rows, ["user_id"], "rn", "value")
     return out.select("user_id", "n", F.round("slope", 6).alias("slope"), F.round("r", 6).alias("r"), "first_value", "last_value", "severity")
 
@@ -228,3 +228,18 @@ def seasons(spark: SparkSession, folder: str) -> DataFrame:
     """Period and strength of the strongest season in the daily means of each kind of event."""
     days = table(spark, folder, "events").groupBy("event_type", F.datediff(F.to_date("ts"), F.lit("1970-01-01")).alias("day")).agg(F.avg("value").alias("value"))
     return W.seasons(days, ["event_type"], "value", "day").select("event_type", "n", "period", F.round("strength", 4).alias("strength"))
+
+
+@SERIES.query("recent_statistics", f"""
+SELECT event_type, count(value) AS n, round(avg(value), 4) AS mean, round(stddev_samp(value), 4) AS std, round(median(value), 4) AS median, round(min(value), 4) AS min, round(max(value), 4) AS max, round(regr_slope(value, rn), 6) AS slope,
+  CASE WHEN regr_slope(value, rn) FILTER (last - rn < 5) < -0.1 THEN 'falling' ELSE 'steady' END AS trend FROM (
+  SELECT *, max(rn) OVER (PARTITION BY event_type) AS last FROM {_RN}) WHERE last - rn < 20 GROUP BY event_type""")
+def recent_statistics(spark: SparkSession, folder: str) -> DataFrame:
+    """The last twenty values of each series, with their slope and the trend of the last five."""
+    rows = W.latest(series(spark, folder), ["event_type"], 20)
+    five = F.regr_slope(F.when(F.col("from_end") <= 5, F.col("value")), F.col("rn"))
+    r = lambda c, n: F.round(c, 4).alias(n)
+    return rows.groupBy("event_type").agg(
+        F.count("value").alias("n"), r(F.avg("value"), "mean"), r(F.stddev_samp("value"), "std"), r(F.percentile("value", F.lit(0.5)), "median"), r(F.min("value"), "min"), r(F.max("value"), "max"),
+        F.round(F.regr_slope("value", "rn"), 6).alias("slope"), F.when(five < -0.1, "falling").otherwise("steady").alias("trend"),
+    )
