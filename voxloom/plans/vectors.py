@@ -124,15 +124,15 @@ def best_threshold(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @VECTORS.query("sample_sizes", f"""
-SELECT event_type, n, round(d, 6) AS effect, CAST(ceil(2 * pow(2.8015852162522725 / d, 2)) AS BIGINT) AS required, round(CASE WHEN z >= 0 THEN {_PHI.format(z='z')} ELSE 1 - {_PHI.format(z='z')} END, 5) AS power FROM (
-  SELECT *, abs(d) * sqrt(n / 2.0) - 1.9599639845400536 AS z FROM (SELECT e.event_type, count(value) AS n, round((avg(value) - any_value(m)) / any_value(s), 9) AS d FROM events e, (SELECT avg(value) AS m, stddev_samp(value) AS s FROM events) GROUP BY e.event_type))""")
+SELECT event_type, n, d AS effect, CAST(coalesce(ceil(2 * pow(2.8015852162522725 / nullif(d, 0), 2)), 0) AS BIGINT) AS required, round(CASE WHEN z >= 0 THEN {_PHI.format(z='z')} ELSE 1 - {_PHI.format(z='z')} END, 5) AS power FROM (
+  SELECT *, d * sqrt(n / 2.0) - 1.9599639845400536 AS z FROM (SELECT e.event_type, count(value) AS n, abs(round((avg(value) - any_value(m)) / any_value(s), 4)) AS d FROM events e, (SELECT avg(value) AS m, stddev_samp(value) AS s FROM events) GROUP BY e.event_type))""")
 def sample_sizes(spark: SparkSession, folder: str) -> DataFrame:
-    """How far each kind of event is from all, and how many rows it takes to see that."""
+    """How far each kind of event is from all, to four digits, and how many rows it takes to see that; 0 without an effect."""
     events = table(spark, folder, "events").select("event_type", "value")
     whole = events.agg(F.avg("value").alias("m"), F.stddev_samp("value").alias("s"))
     rows = events.groupBy("event_type").agg(F.count("value").alias("n"), F.avg("value").alias("a")).join(whole, F.lit(True))
-    d = F.round((F.col("a") - F.col("m")) / F.nullif("s", F.lit(0.0)), 9)
-    return rows.select("event_type", "n", F.round(d, 6).alias("effect"), T.required_size(d).alias("required"), F.round(T.achieved_power(F.col("n"), d), 5).alias("power"))
+    d = F.abs(F.round((F.col("a") - F.col("m")) / F.nullif("s", F.lit(0.0)), 4))
+    return rows.select("event_type", "n", d.alias("effect"), F.coalesce(T.required_size(d), F.lit(0)).alias("required"), F.round(T.achieved_power(F.col("n"), d), 5).alias("power"))
 
 
 @VECTORS.query("experiment_winner", f"""
