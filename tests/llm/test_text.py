@@ -170,7 +170,11 @@ def test_folding():
     assert h[0] == h[3] and len(set(h.tolist())) == 3 and len(window_hashes(letters, 99)) == 0
 
 
-def test_tiling_finds_order_and_not_shuffles(spark):
+@pytest.mark.parametrize("block", [1_000_000, 300])
+def test_tiling_finds_order_and_not_shuffles(spark, monkeypatch, block):
+    from voxloom.llm import leaks
+
+    monkeypatch.setattr(leaks, "BLOCK", block)
     r = random.Random(7)
     word = lambda: "".join(r.choice("bcdfghjklmnpqrstvwxz") + r.choice("aeiou") for _ in range(r.randint(1, 4)))
     items = [[word() for _ in range(90)] for _ in range(6)]
@@ -205,7 +209,7 @@ def test_slips_at_any_distance_that_leaves_seeds():
                 part[k] = r.choice([c for c in "abcdefgh" if c != part[k]])
             letters, offsets = folded([item])
             doc = _letters(r, 5000) + "".join(part) + _letters(r, 900)
-            assert [x[:2] for x in leaked([_letters(r, 99), doc], seed_tables(letters, offsets), np.diff(offsets), 0.5)] == [(1, 0)]
+            assert [x[:2] for x in leaked(*folded([_letters(r, 99), doc]), seed_tables(letters, offsets), np.diff(offsets), 0.5)] == [(1, 0)]
 
 
 def test_what_many_items_share_is_looked_up_once():
@@ -218,7 +222,7 @@ def test_what_many_items_share_is_looked_up_once():
     tables, length = seed_tables(letters, offsets), np.diff(offsets)
     doc = "".join(_letters(r, 40) + shared for _ in range(100)) + items[7]
     tracemalloc.start()
-    got = leaked([doc], tables, length, 0.5)
+    got = leaked(*folded([doc]), tables, length, 0.5)
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert {x[1] for x in got} == {7, 2000} and peak < 200_000_000
@@ -226,7 +230,7 @@ def test_what_many_items_share_is_looked_up_once():
 
 def test_periodic_texts_end():
     letters, offsets = folded(["ab" * 400, "xyz" * 100])
-    got = leaked(["ab" * 30_000 + "xyz" * 90], seed_tables(letters, offsets), np.diff(offsets), 0.5)
+    got = leaked(*folded(["ab" * 30_000 + "xyz" * 90]), seed_tables(letters, offsets), np.diff(offsets), 0.5)
     assert {x[1] for x in got} == {0, 1}
 
 

@@ -9,8 +9,8 @@ Equal windows of items are one seed, so what many items have in common is looked
 only if their seeds cover enough letters of the item for a passage of the share to be possible at all: no pair that tiling would
 find is left out.
 
-The items are few and are sent to every task in blocks of bounded size; the documents are read
-once for each block and never shuffled.
+The items are few and are sent to every task in blocks of bounded size, some at a time; the documents are read
+once for these and never shuffled.
 """
 
 from __future__ import annotations
@@ -32,6 +32,7 @@ SHORTEST = 4  # items of fewer letters don't count
 GAP = 40  # letters between two tiles of one passage
 SLIP = 16  # letters of such a gap that count as held, a slip of a word
 BLOCK = 1_000_000  # letters of items in one block
+TOGETHER = 4  # blocks that are sent together
 CHUNK = 1_500_000  # characters of documents handled at once
 EXPANDED = 1_000_000  # windows of items that are looked at at once
 FILTER_BITS = 23
@@ -185,9 +186,8 @@ def _held(seeds: Seeds, at: np.ndarray, seed: np.ndarray, item: int, length: int
     return best / length
 
 
-def leaked(texts: list[str], tables: list[Seeds], length: np.ndarray, share: float) -> list[tuple[int, int, float]]:
-    """Of these texts, (text, item, coverage) of each item held in one."""
-    letters, offsets = folded(texts)
+def leaked(letters: np.ndarray, offsets: np.ndarray, tables: list[Seeds], length: np.ndarray, share: float) -> list[tuple[int, int, float]]:
+    """Of these folded texts, (text, item, coverage) of each item held in one."""
     out = []
     for seeds in tables:
         h = window_hashes(letters, seeds.width)
@@ -201,7 +201,7 @@ def leaked(texts: list[str], tables: list[Seeds], length: np.ndarray, share: flo
         by = np.argsort(doc * len(seeds.hashes) + seed, kind="stable")
         at, seed, doc = at[by] - offsets[doc[by]], seed[by], doc[by]
         new = np.r_[True, (doc[1:] != doc[:-1]) | (seed[1:] != seed[:-1])]
-        edges = np.searchsorted(doc, np.arange(len(texts) + 1))
+        edges = np.searchsorted(doc, np.arange(len(offsets)))
         for d, i in _candidates(seeds, doc[new], seed[new], length, share):
             held = _held(seeds, at[edges[d] : edges[d + 1]], seed[edges[d] : edges[d + 1]], i, int(length[i]), share)
             if held >= share:
@@ -225,31 +225,38 @@ def leaked_items(
     kind, item_kind = documents.schema[key].dataType.simpleString(), items.schema["i"].dataType.simpleString()
     docs = documents.select(F.col(key).alias("k"), F.col(text).alias("t")).where("t is not null and k is not null")
     out = None
-    for block in range(blocks):
-        rows = sorted((r.i, r.t) for r in items.where(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == block).collect())
-        found = docs.mapInArrow(_search(rows, share, to_arrow_type(items.schema["i"].dataType)), f"k {kind}, i {item_kind}, coverage double")
+    for first in range(0, blocks, TOGETHER):
+        block = F.pmod(F.xxhash64("i", "t"), F.lit(blocks)).alias("block")
+        sent: list[list[tuple]] = [[] for _ in range(min(TOGETHER, blocks - first))]
+        for r in items.select("i", "t", block).where((F.col("block") >= first) & (F.col("block") < first + TOGETHER)).collect():
+            sent[r.block - first].append((r.i, r.t))
+        found = docs.mapInArrow(_search([sorted(b) for b in sent], share, to_arrow_type(items.schema["i"].dataType)), f"k {kind}, i {item_kind}, coverage double")
         out = found if out is None else out.unionByName(found)
     return out.groupBy(F.col("k").alias(key), F.col("i").alias(item_key)).agg(F.max("coverage").alias("coverage"))
 
 
-def _search(rows: list[tuple], share: float, item_type: pa.DataType):
+def _search(blocks: list[list[tuple]], share: float, item_type: pa.DataType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        letters, offsets = folded([t for _, t in rows])
-        tables, length = seed_tables(letters, offsets), np.diff(offsets)
+        tables = []
+        for rows in blocks:
+            letters, offsets = folded([t for _, t in rows])
+            tables.append((rows, seed_tables(letters, offsets), np.diff(offsets)))
         for batch in batches:
             texts = batch.column(1).to_pylist()
             sizes, start = np.cumsum([len(t) for t in texts]), 0
             while start < len(texts):
                 end = max(start + 1, int(np.searchsorted(sizes, (sizes[start - 1] if start else 0) + CHUNK, side="right")))
-                found = leaked(texts[start:end], tables, length, share)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).take(pa.array([start + f[0] for f in found], pa.int64())),
-                        pa.array([rows[f[1]][0] for f in found], item_type),
-                        pa.array([f[2] for f in found], pa.float64()),
-                    ],
-                    ["k", "i", "coverage"],
-                )
+                letters, offsets = folded(texts[start:end])
+                for rows, seeds, length in tables:
+                    found = leaked(letters, offsets, seeds, length, share)
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            batch.column(0).take(pa.array([start + f[0] for f in found], pa.int64())),
+                            pa.array([rows[f[1]][0] for f in found], item_type),
+                            pa.array([f[2] for f in found], pa.float64()),
+                        ],
+                        ["k", "i", "coverage"],
+                    )
                 start = end
 
     return run
