@@ -303,7 +303,8 @@ def _pieces(model: LanguageModel, text: str) -> list[tuple[int, int, str]]:
     runs = script_runs(text)
     if not runs:
         return []
-    _join_around_loans(runs)
+    if not all(r[4] for r in runs):
+        _join_around_loans(runs)
     full = [r for r in runs if r[4]]
     if not full:
         main = main_script(runs)
