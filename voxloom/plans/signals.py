@@ -21,6 +21,11 @@ _SIGNAL = "(SELECT event_id, list_transform(generate_series(0, 159), lambda i: 0
 _D = "list_dot_product"
 
 
+def _spread(df: DataFrame, key: str) -> DataFrame:
+    """Rows over all cores: a small file is one task's, but every row becomes a signal that takes its time."""
+    return df.repartition(2 * df.sparkSession.sparkContext.defaultParallelism, key)
+
+
 def _signals(spark: SparkSession, folder: str) -> DataFrame:
     """Tones of 20 ms, one an event, made for whole batches."""
     i = np.arange(N)
@@ -34,7 +39,7 @@ def _signals(spark: SparkSession, folder: str) -> DataFrame:
             noisy = clean + (0.01 + value / 10000)[:, None] * ripple
             yield pa.RecordBatch.from_arrays([batch.column(0), lists(np.tile(clean, (n, 1))), lists(noisy), pa.array(np.full(n, RATE, np.int32))], ["event_id", "clean", "noisy", "rate"])
 
-    return table(spark, folder, "events").select("event_id", "value").mapInArrow(run, "event_id bigint, clean array<double>, noisy array<double>, rate int")
+    return _spread(table(spark, folder, "events").select("event_id", "value"), "event_id").mapInArrow(run, "event_id bigint, clean array<double>, noisy array<double>, rate int")
 
 
 LONG = 4000
@@ -57,7 +62,7 @@ def _long_signals(spark: SparkSession, folder: str) -> DataFrame:
                 lists = lambda x: pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * LONG), pa.array(x.ravel()))
                 yield pa.RecordBatch.from_arrays([pa.array(k.ravel()), lists(clean), lists(noisy), pa.array(np.full(len(k), RATE, np.int32))], ["emb_id", "clean", "noisy", "rate"])
 
-    return table(spark, folder, "speaker_embeddings").select("emb_id").mapInArrow(run, "emb_id bigint, clean array<double>, noisy array<double>, rate int")
+    return _spread(table(spark, folder, "speaker_embeddings").select("emb_id"), "emb_id").mapInArrow(run, "emb_id bigint, clean array<double>, noisy array<double>, rate int")
 
 
 def _checked(x: np.ndarray, rate: int) -> dict[str, float]:
