@@ -78,3 +78,16 @@ def test_torn_speakers_come_out_of_the_star_steps(spark, sf, monkeypatch):
     seen, star = [], splits.connected
     monkeypatch.setattr(splits, "connected", lambda edges: seen.append(edges.count()) or star(edges))
     assert queries.p3_found(spark, sf).count() > 0 and seen and seen[0] > 0
+
+
+def test_speakers_in_digits_of_any_script_are_linked(spark, tmp_path):
+    from voxloom.llm import queries
+
+    zeros = [ord(z) for z in "０٠۰०০๐໐༠၀០᠐𝟎"]
+    rows = [row for k, z in enumerate(zeros) for row in ((f"a{k}", f"SPK_{100 + k:05d}", "train"), (f"b{k}", "spk-" + "".join(chr(z + int(c)) for c in str(100 + k)), "test"))]
+    rows += [("c1", "SPK_²", "train"), ("c2", "SPK_00002", "test"), ("d1", "SPK_00003", "train"), ("d2", "SPK_٣", None)]
+    spark.createDataFrame(rows, "id string, speaker_id string, split string").write.parquet(f"{tmp_path}/samples.parquet")
+    assert sorted(x.speaker_id for x in queries.p3_found(spark, str(tmp_path)).collect()) == [f"SPK_{100 + k:05d}" for k in range(len(zeros))]
+    spark.createDataFrame([("train", 0.5), ("test", 0.5)], "split string, target_share double").write.parquet(f"{tmp_path}/split_targets.parquet")
+    of = {x.id: x.component for x in queries.p3_assigned(spark, str(tmp_path)).collect()}
+    assert all(of[f"a{k}"] == of[f"b{k}"] for k in range(len(zeros))) and of["c1"] != of["c2"] and of["d1"] == of["d2"]
